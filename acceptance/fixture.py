@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.classify import classify
+from millrace.operators.classify import classify, pinned
 from millrace.operators.rejects import RunLabel
 from millrace.sources.raw import split_fields
 from millrace.sources.spec import JobSpec
@@ -153,15 +153,15 @@ def spec_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified_main(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(split_fields(main_lines(spark, sf_dir), "|"), MAIN_SPEC)
+    return pinned(classify(split_fields(main_lines(spark, sf_dir), "|"), MAIN_SPEC))
 
 
 def classified_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(split_fields(marker_lines(spark, sf_dir), "|"), MAIN_SPEC)
+    return pinned(classify(split_fields(marker_lines(spark, sf_dir), "|"), MAIN_SPEC))
 
 
 def classified_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(split_fields(number_lines(spark, sf_dir), "||"), NUMBER_SPEC)
+    return pinned(classify(split_fields(number_lines(spark, sf_dir), "||"), NUMBER_SPEC))
 
 
 def as_text(source: DataFrame) -> DataFrame:

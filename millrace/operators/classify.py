@@ -103,6 +103,17 @@ def _marker_text(spec: JobSpec) -> Column:
     return F.regexp_replace(F.concat_ws(",", *texts), ",+$", "")
 
 
+def pinned(rows: DataFrame) -> DataFrame:
+    """The same rows, with everything later kept above this point of the plan.
+
+    Catalyst moves filters and semi joins below a plain projection and repeats its expressions
+    there, so a status test would convert every field again, and a join key once more. It does
+    not move them below ``inline`` over one struct per row.
+    """
+    columns = [F.col(f"`{name}`") for name in rows.columns]
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
 def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
     """Per line: ``status, marked, record_key, message`` and one typed column per field.
 

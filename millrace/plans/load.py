@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import clock
-from millrace.operators.classify import accepted_rows, classify
+from millrace.operators.classify import accepted_rows, classify, pinned
 from millrace.operators.integrate import integrate, stamp
 from millrace.operators.metrics import IN_PROGRESS, line_counts, run_record, run_record_line
 from millrace.operators.rejects import RunLabel, reject_lines
@@ -104,8 +104,9 @@ def run_load(
     staged_path = new_folder(session, "classified") if options.stage else None
     try:
         classified = classify_raw(session, raw_path, spec)
-        if staged_path:
-            classified = stage_table(classified, staged_path)
+        classified = (
+            stage_table(classified, staged_path) if staged_path else pinned(classified)
+        )
         written = _write_integrated(session, classified, spec, data_path, start_time, options)
         end_time = clock.stamp(now())
 
