@@ -77,13 +77,24 @@ def _with_values(fields: DataFrame, spec: JobSpec) -> DataFrame:
 
 
 def _first_failure(spec: JobSpec) -> Column:
-    """The message of the leftmost field that does not convert, else null."""
-    reasons = [
-        F.when(F.col(value_name(i)).isNull(), failure_reason(field_at(i), column.dataType))
+    """The position of the leftmost field that does not convert, else null."""
+    places = [
+        F.when(F.col(value_name(i)).isNull(), F.lit(i))
         for i, column in enumerate(spec.schema)
         if not isinstance(column.dataType, T.StringType)
     ]
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    return F.coalesce(*places) if places else F.lit(None).cast("int")
+
+
+def _failure_message(spec: JobSpec) -> Column:
+    """The message for the field at ``failed_at``, written out once and not per column."""
+    text = F.get(FIELDS, F.col("failed_at"))
+    integers = [
+        i for i, column in enumerate(spec.schema) if isinstance(column.dataType, T.IntegerType)
+    ]
+    return F.when(
+        F.col("failed_at").isin(integers), failure_reason(text, T.IntegerType())
+    ).otherwise(failure_reason(text, T.DoubleType()))
 
 
 def _has_marker(spec: JobSpec) -> Column:
@@ -117,22 +128,23 @@ def pinned(rows: DataFrame) -> DataFrame:
 def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
     """Per line: ``status, marked, record_key, message`` and one typed column per field.
 
-    Typed columns are filled for accepted rows only. ``record_key`` and ``message`` are filled
+    Typed columns only mean something in accepted rows. ``record_key`` and ``message`` are filled
     for rows a log may mention: the first field and the conversion message of a rejected line,
     or, for an accepted row that holds the marker word, the first and last comma-separated
     piece of its text.
     """
     missing = any_of([is_missing(position) for position in spec.required])
-    failure = _first_failure(spec)
+    values = [value_name(i) for i in range(spec.arity)]
+    failed_at = _first_failure(spec)
     checked = _with_values(fields, spec).select(
         FIELDS,
         F.when(~arity_is(spec.arity), ARITY)
         .when(missing, REQUIRED)
-        .when(failure.isNotNull(), CONVERT)
+        .when(failed_at.isNotNull(), CONVERT)
         .otherwise(OK)
         .alias(STATUS),
-        failure.alias("failure"),
-        *[value_name(i) for i in range(spec.arity)],
+        failed_at.alias("failed_at"),
+        *values,
     )
     accepted = F.col(STATUS) == OK
     marked = accepted & _has_marker(spec)
@@ -143,13 +155,10 @@ def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
         F.when(~accepted, field_at(0))
         .when(marked, F.substring_index(text, ",", 1))
         .alias(RECORD_KEY),
-        F.when(F.col(STATUS) == CONVERT, F.col("failure"))
+        F.when(F.col(STATUS) == CONVERT, _failure_message(spec))
         .when(marked, F.substring_index(text, ",", -1))
         .alias(MESSAGE),
-        *[
-            F.when(accepted, F.col(value_name(i))).alias(value_name(i))
-            for i in range(spec.arity)
-        ],
+        *values,
     )
 
 
