@@ -78,6 +78,7 @@ supplier_dim as (select cast(s_suppkey as integer) as suppkey,
 MAIN = _classified(MAIN_LINES)
 FACT = _classified(MAIN_LINES, required=False)
 MARKER = _classified(MARKER_LINES)
+FACT_MARKER = _classified(MARKER_LINES, required=False)
 
 FLOATING = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?"
 
@@ -230,6 +231,7 @@ def oracle_statements() -> dict[str, str]:
         "log_sink": MARKER + LOG,
         "fact_load": FACT + _texts(["brand", "n", "ssk", "nations"], statements.FACT_JOIN),
         "fact_load_audit": FACT + RECORD,
+        "fact_load_errors": FACT_MARKER + LOG,
         "dimension_load": MAIN
         + _texts(["ok", "pk", "sk100", "rf", "flags"], statements.PROJECT),
         "dimension_load_errors": MARKER + LOG,

@@ -14,7 +14,7 @@ from millrace.functions.convert import resolve_type_column
 from millrace.operators import classify as checks
 from millrace.operators import metrics, rejects
 from millrace.operators.integrate import integrate, stamp
-from millrace.plans.load import DIMENSION, FACT, Options, run_load
+from millrace.plans.load import DIMENSION, FACT, LoadResult, Options, Preset, run_load
 from millrace.sinks.files import dated_path, dated_timed_path, write_data, write_log
 from millrace.sinks.stage import new_folder
 from millrace.sources.dimension import project_dimension, read_dimension
@@ -223,7 +223,14 @@ def log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, folder).withColumnRenamed("value", "line")
 
 
-def _load(spark: SparkSession, sf_dir: str, preset, lines: DataFrame, dims: bool):
+def _load(
+    spark: SparkSession,
+    sf_dir: str,
+    preset: Preset,
+    lines: DataFrame,
+    dims: bool,
+    options: Options = Options(),
+) -> LoadResult:
     """Write raw lines, spec and dimension files, run a whole load over them."""
     home = new_folder(spark, "load")
     lines.write.text(f"{home}/raw")
@@ -243,7 +250,7 @@ def _load(spark: SparkSession, sf_dir: str, preset, lines: DataFrame, dims: bool
         spark,
         preset,
         *[f"{home}/{name}" for name in ("spec", "raw", "out", "error", "audit")],
-        options=Options(),
+        options=options,
         now=lambda: fx.RUN_MOMENT,
     )
 
@@ -258,6 +265,13 @@ def fact_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, result.audit_path).withColumnRenamed("value", "line")
 
 
+def fact_load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load that stages rejects only and reads the raw text twice."""
+    lines = fx.marker_lines(spark, sf_dir)
+    result = _load(spark, sf_dir, FACT, lines, True, Options(stage=False))
+    return read_lines(spark, result.error_path).withColumnRenamed("value", "line")
+
+
 def dimension_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = _load(spark, sf_dir, DIMENSION, fx.main_lines(spark, sf_dir), False)
     return read_dimension(spark, result.data_path)
@@ -300,6 +314,7 @@ def registered() -> dict[str, Query]:
         log_sink,
         fact_load,
         fact_load_audit,
+        fact_load_errors,
         dimension_load,
         dimension_load_errors,
     ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.classify import ARITY, CONVERT, MARKED, OK, REQUIRED, STATUS
@@ -27,12 +27,10 @@ RUN_RECORD_COLUMNS = (
 MANIFEST_COLUMNS = ("name", "record_count", "counted_at")
 
 
-def line_counts(
-    classified: DataFrame, strict: bool = False, log_required: bool = False
-) -> DataFrame:
-    """One row of exact counts over the classified table."""
+def line_count_columns(strict: bool = False, log_required: bool = False) -> list[Column]:
+    """The counts of a classified table, as aggregates to compute or to observe."""
     status = F.col(STATUS)
-    return classified.agg(
+    return [
         F.count("*").alias("records_read"),
         F.count_if(is_logged(strict, log_required)).alias("records_rejected"),
         F.count_if(status == OK).alias("accepted"),
@@ -40,7 +38,14 @@ def line_counts(
         F.count_if(status == REQUIRED).alias("required"),
         F.count_if(status == CONVERT).alias("convert"),
         F.count_if(F.col(MARKED)).alias("marked"),
-    )
+    ]
+
+
+def line_counts(
+    classified: DataFrame, strict: bool = False, log_required: bool = False
+) -> DataFrame:
+    """One row of exact counts over the classified table."""
+    return classified.agg(*line_count_columns(strict, log_required))
 
 
 def run_counts(

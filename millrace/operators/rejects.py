@@ -59,6 +59,15 @@ def is_logged(strict: bool = False, log_required: bool = False) -> Column:
     return logged if strict else logged | is_marker_reject()
 
 
+def logged_rows(
+    classified: DataFrame, strict: bool = False, log_required: bool = False
+) -> DataFrame:
+    """The classified rows the error log holds, without their typed values."""
+    return classified.filter(is_logged(strict, log_required)).select(
+        STATUS, MARKED, RECORD_KEY, MESSAGE
+    )
+
+
 def _message() -> Column:
     return (
         F.when(is_arity_reject(), F.lit(ARITY_MESSAGE))
@@ -95,7 +104,7 @@ def reject_lines(
     converted = is_convert_reject()
     key = F.col(RECORD_KEY)
     message = _message()
-    return classified.filter(is_logged(strict, log_required)).select(
+    return logged_rows(classified, strict, log_required).select(
         F.concat_ws(
             ",",
             F.lit(label.batch_id),

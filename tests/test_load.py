@@ -94,8 +94,11 @@ def test_dimension_load_drops_empty_required_silently(spark, home, staged):
     assert read(f"{home}/audit") == [f"B1,A1,2,{STAMP},{STAMP},7,3,3"]
 
 
-def test_log_options(spark, home):
-    result = run(spark, home, DIMENSION, strict=True, log_required=True, log_files=1, data_files=1)
+@pytest.mark.parametrize("staged", [True, False])
+def test_log_options(spark, home, staged):
+    result = run(
+        spark, home, DIMENSION, strict=True, log_required=True, log_files=1, data_files=1, stage=staged
+    )
     assert len(glob.glob(f"{result.data_path}/part-*")) == 1
     assert len(glob.glob(f"{home}/error/part-*")) == 1
     assert len(read(f"{home}/error")) == 4
@@ -137,14 +140,16 @@ def test_written_counts_the_result_of_a_grouping(spark, home):
     assert result.counts["records_written"] == 4
 
 
+@pytest.mark.parametrize("staged", [True, False])
 @pytest.mark.parametrize("query", ["select * from src where id > 99", "select id from src where 1 = 0"])
-def test_empty_result(spark, home, query):
-    result = run(spark, home, FACT, query=query)
+def test_empty_result(spark, home, query, staged):
+    result = run(spark, home, FACT, query=query, stage=staged)
     assert result.counts["records_written"] == 0
     assert read(f"{home}/audit") == [f"B1,A1,2,{STAMP},{STAMP},7,0,3"]
 
 
-def test_empty_input(spark, home):
+@pytest.mark.parametrize("staged", [True, False])
+def test_empty_input(spark, home, staged):
     put(f"{home}/raw/r.txt", "")
     result = run_fact_load(
         spark,
@@ -153,6 +158,7 @@ def test_empty_input(spark, home):
         f"{home}/out",
         f"{home}/error",
         f"{home}/audit",
+        Options(stage=staged),
     )
     assert result.counts["records_read"] == 0 and result.counts["records_written"] == 0
     assert read(f"{home}/error") == []
