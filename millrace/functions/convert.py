@@ -77,15 +77,20 @@ def declared_schema(columns: list[tuple[str, str]]) -> T.StructType:
     )
 
 
-def typed_value(text: Column, data_type: T.DataType) -> Column:
-    """``text`` as ``data_type``, or null where it does not convert."""
+def typed_value(text: str, data_type: T.DataType) -> str:
+    """SQL for the expression ``text`` as ``data_type``, or null where it does not convert.
+
+    SQL text, because a wide spec has hundreds of these and each is one call to the JVM.
+    """
     if isinstance(data_type, T.IntegerType):
-        ascii_text = F.translate(text, _OTHER_DIGITS, _ASCII_DIGITS)
-        return F.when(text.rlike(INTEGER_TEXT), text.try_cast(data_type)).when(
-            text.rlike(ANY_DIGITS_TEXT), ascii_text.try_cast(data_type)
+        ascii_text = f"translate({text}, '{_OTHER_DIGITS}', '{_ASCII_DIGITS}')"
+        return (
+            f"case when {text} rlike r'{INTEGER_TEXT}' then try_cast({text} as int) "
+            f"when {text} rlike r'{ANY_DIGITS_TEXT}' then try_cast({ascii_text} as int) end"
         )
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.when(text.rlike(FLOATING_TEXT), text.try_cast(data_type))
+        name = data_type.simpleString()
+        return f"if({text} rlike r'{FLOATING_TEXT}', try_cast({text} as {name}), null)"
     return text
 
 

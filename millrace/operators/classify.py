@@ -31,7 +31,7 @@ MESSAGE = "message"
 
 def field_at(position: int) -> Column:
     """One field; null, not an error, past the end."""
-    return F.get(F.col(FIELDS), F.lit(position))
+    return F.expr(f"get({FIELDS}, {position})")
 
 
 def value_name(position: int) -> str:
@@ -70,20 +70,20 @@ def empty_key_rows(fields: DataFrame, arity: int) -> DataFrame:
 
 def _with_values(fields: DataFrame, spec: JobSpec) -> DataFrame:
     values = [
-        typed_value(field_at(i), column.dataType).alias(value_name(i))
+        f"{typed_value(f'get({FIELDS}, {i})', column.dataType)} as {value_name(i)}"
         for i, column in enumerate(spec.schema)
     ]
-    return fields.select(FIELDS, *values)
+    return fields.selectExpr(FIELDS, *values)
 
 
 def _first_failure(spec: JobSpec) -> Column:
     """The position of the leftmost field that does not convert, else null."""
     places = [
-        F.when(F.col(value_name(i)).isNull(), F.lit(i))
+        f"if({value_name(i)} is null, {i}, null)"
         for i, column in enumerate(spec.schema)
         if not isinstance(column.dataType, T.StringType)
     ]
-    return F.coalesce(*places) if places else F.lit(None).cast("int")
+    return F.expr(f"coalesce({', '.join(places)})" if places else "cast(null as int)")
 
 
 def _failure_message(spec: JobSpec) -> Column:
@@ -110,8 +110,8 @@ def _has_marker(spec: JobSpec) -> Column:
 
 def _marker_text(spec: JobSpec) -> Column:
     """A marked row as text of its typed values, comma-joined, without commas at the end."""
-    texts = [F.col(value_name(i)).cast("string") for i in range(spec.arity)]
-    return F.regexp_replace(F.concat_ws(",", *texts), ",+$", "")
+    texts = ", ".join(f"cast({value_name(i)} as string)" for i in range(spec.arity))
+    return F.regexp_replace(F.expr(f"concat_ws(',', {texts})"), ",+$", "")
 
 
 def pinned(rows: DataFrame) -> DataFrame:
@@ -121,8 +121,8 @@ def pinned(rows: DataFrame) -> DataFrame:
     there, so a status test would convert every field again, and a join key once more. It does
     not move them below ``inline`` over one struct per row.
     """
-    columns = [F.col(f"`{name}`") for name in rows.columns]
-    return rows.select(F.inline(F.array(F.struct(*columns))))
+    columns = ", ".join("`" + name.replace("`", "``") + "`" for name in rows.columns)
+    return rows.select(F.expr(f"inline(array(struct({columns})))"))
 
 
 def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:

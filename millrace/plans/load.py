@@ -130,7 +130,7 @@ def run_load(
             options.log_files,
         )
         record = run_record(
-            session.range(1).select(*[F.lit(n).alias(name) for name, n in counts.items()]),
+            session.range(0, 1, 1, 1).select(*[F.lit(n).alias(name) for name, n in counts.items()]),
             spec.batch_id,
             spec.activity_id,
             start_time,

@@ -56,5 +56,8 @@ def write_log(lines: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def write_small_log(lines: DataFrame, path: str) -> None:
-    """A log of a few rows, such as a run record or a manifest, as one file."""
-    lines.repartition(1).write.mode("errorifexists").text(path)
+    """A log of a few aggregated rows, such as a run record or a manifest, as one file.
+
+    What fills the rows has ended at a shuffle before, so the coalesce only gathers results.
+    """
+    lines.coalesce(1).write.mode("errorifexists").text(path)

@@ -172,7 +172,9 @@ def load_spec(
     on the two log folder settings.
     """
     wanted = (*SECTIONS, NON_NULLABLE) if use_required else SECTIONS
-    rows = section_entries(read_spec_lines(spark, path), wanted, match).collect()
+    # A spec is a page of settings: one task reads it, without a shuffle.
+    lines = read_spec_lines(spark, path).coalesce(1)
+    rows = section_entries(lines, wanted, match).collect()
     rows.sort(key=lambda row: row.first_line)
     sections: dict[str, dict[str, str]] = {name: {} for name in wanted}
     extras: dict[str, str] = {}

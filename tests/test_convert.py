@@ -49,7 +49,7 @@ TYPES = {"int": T.IntegerType(), "float": T.FloatType(), "double": T.DoubleType(
 def check(spark, texts):
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     for kind, data_type in TYPES.items():
-        value = convert.typed_value(F.col("t"), data_type)
+        value = F.expr(convert.typed_value("t", data_type))
         rows = frame.select(
             "t",
             value.alias("v"),
@@ -85,7 +85,7 @@ def test_random_numbers_match_the_jvm(spark):
 
 def test_text_converts_to_itself(spark):
     frame = spark.createDataFrame([("",), (" a ",)], "t string")
-    value = convert.typed_value(F.col("t"), T.StringType())
+    value = F.expr(convert.typed_value("t", T.StringType()))
     assert [r[0] for r in frame.select(value).collect()] == ["", " a "]
 
 
