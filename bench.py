@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 from collections.abc import Callable
 from dataclasses import replace
@@ -115,7 +114,6 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
     }
     spark = build_session("millrace-bench", f"local[{CPUS}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")

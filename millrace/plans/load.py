@@ -20,7 +20,7 @@ from millrace.operators.metrics import (
     run_record_line,
 )
 from millrace.operators.rejects import RunLabel, logged_rows, reject_lines
-from millrace.session import job_session
+from millrace.session import fit_to_input, job_session
 from millrace.sinks.files import (
     dated_path,
     delete_folder,
@@ -77,10 +77,6 @@ class LoadResult:
     counts: dict[str, int]
 
 
-def classify_raw(spark: SparkSession, raw_path: str, spec: JobSpec) -> DataFrame:
-    return classify(split_fields(read_lines(spark, raw_path), spec.separator), spec)
-
-
 def run_load(
     spark: SparkSession,
     preset: Preset,
@@ -111,7 +107,9 @@ def run_load(
     staged_path = new_folder(session, "classified")
     log_choice = (options.strict, options.log_required)
     try:
-        classified = classify_raw(session, raw_path, spec)
+        lines = read_lines(session, raw_path)
+        fit_to_input(session, lines)
+        classified = classify(split_fields(lines, spec.separator), spec)
         if options.stage:
             classified = logged = stage_table(classified, staged_path)
             counts = line_counts(classified, *log_choice).first().asDict()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # A spec's statement was written for SQL that mixes text and numbers and gives null for what it
 # cannot compute, with the older date patterns.
@@ -26,6 +26,31 @@ def job_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+# Upper bounds, so that neither scan tasks nor shuffle blocks swamp the scheduler.
+MOST_SCAN_TASKS = 100_000
+MOST_SHUFFLE_PARTITIONS = 20_000
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+
+SCAN_TASKS = "spark.sql.files.maxPartitionNum"
+FIRST_SHUFFLE_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def fit_to_input(session: SparkSession, lines: DataFrame) -> None:
+    """Size a load's scans and shuffles by its input, where the caller left them open.
+
+    A scan of 100 TB gets tasks of a gigabyte in place of 800,000 small ones, each of which
+    would also leave a staged file. Shuffles start with enough partitions for the whole input;
+    adaptive execution merges what turns out small.
+    """
+    if session.conf.get(SCAN_TASKS, None) is None:
+        session.conf.set(SCAN_TASKS, str(MOST_SCAN_TASKS))
+    if session.conf.get(FIRST_SHUFFLE_PARTITIONS, None) is None:
+        size = int(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        wanted = min(size // INPUT_BYTES_PER_SHUFFLE_PARTITION, MOST_SHUFFLE_PARTITIONS)
+        usual = int(session.conf.get("spark.sql.shuffle.partitions"))
+        session.conf.set(FIRST_SHUFFLE_PARTITIONS, str(max(wanted, usual)))
+
+
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session for spark-submit and local runs; the cluster's own settings stay in force."""
     builder = SparkSession.builder.appName(app_name)

@@ -16,14 +16,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names. Only a local session may go without."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

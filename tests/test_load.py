@@ -10,6 +10,8 @@ import pytest
 
 from millrace import DIMENSION, FACT, Options, run_dimension_load, run_fact_load, run_load, run_manifest
 from millrace.__main__ import parse
+from millrace import session
+from millrace.functions import clock
 from millrace.sinks import files, stage
 
 NOW = datetime(2024, 3, 5, 6, 7, 8)
@@ -179,14 +181,15 @@ def test_data_is_overwritten(spark, home):
 
 
 def test_staged_table_is_removed_also_after_a_failure(spark, home):
-    folder = stage.shared_folder(spark)
+    folder = stage.shared_folder(spark).removeprefix("file:")
+    before = glob.glob(f"{folder}/classified-*")
     run(spark, home, FACT)
     with pytest.raises(Exception, match="nowhere"):
         run_load(
             spark, FACT, f"{home}/spec/s.txt".replace("s.txt", ""), f"{home}/nowhere",
             f"{home}/o2", f"{home}/e2", f"{home}/a2",
         )
-    assert not glob.glob(f"{folder}/classified-*")
+    assert glob.glob(f"{folder}/classified-*") == before
 
 
 def test_dimension_preset_needs_log_paths(spark, home):
@@ -237,12 +240,49 @@ def test_log_folder_must_be_new(spark, home):
         files.write_small_log(lines, f"{home}/log")
 
 
+class OtherSession:
+    """A session's settings as far as the shared folder depends on them."""
+
+    def __init__(self, named, set_on_context, master):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master, self.getCheckpointDir = master, lambda: set_on_context
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
-    assert stage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert stage.shared_folder(OtherSession("/a", "/b", "yarn")) == "/a"
+    assert stage.shared_folder(OtherSession(None, "/b", "yarn")) == "/b"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stage.shared_folder(OtherSession(None, None, "yarn"))
     assert stage.new_folder(spark, "x") != stage.new_folder(spark, "x")
 
 
+def test_clock_formats():
+    assert (clock.stamp(NOW), clock.day(NOW)) == (STAMP, "2024-03-05")
+    assert clock.day_folder(NOW) == "2024/03/05"
+    assert clock.day_time_folder(NOW) == "2024/03/05/06-07-08"
+
+
 def test_command_line():
     args = parse(["fact", "s", "r", "o", "e", "a", "--log-files", "3", "--rescan"])
     assert (args.run, args.spec, args.audit, args.log_files, args.rescan) == ("fact", "s", "a", 3, True)
     assert parse(["manifest", "m", "A=/x", "B=/y"]).folders == ["A=/x", "B=/y"]
+
+
+def test_scans_and_shuffles_are_sized_by_the_input(spark, home):
+    put(f"{home}/raw/r.txt", "x" * 1000)
+    lines = spark.read.text(f"{home}/raw")
+    own = session.job_session(spark)
+    session.fit_to_input(own, lines)
+    assert own.conf.get(session.SCAN_TASKS) == "100000"
+    assert own.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "8"
+    large = session.job_session(spark)
+    session.fit_to_input(large, spark.range(0, 10**12, 1, 4))
+    assert large.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "14901"
+    huge = session.job_session(spark)
+    session.fit_to_input(huge, spark.range(0, 10**15, 1, 4))
+    assert huge.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "20000"
+    large.conf.set(session.FIRST_SHUFFLE_PARTITIONS, "5")
+    session.fit_to_input(large, spark.range(0, 10**12, 1, 4))
+    assert large.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "5"
+    assert spark.conf.get(session.SCAN_TASKS, None) is None

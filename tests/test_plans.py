@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import replace
 
 import pytest
 
 from acceptance import fixture as fx
 from acceptance import statements
 from acceptance.queries import PART_SELECT, registered
-from millrace.operators.classify import accepted_rows, classify
+from millrace.operators.classify import accepted_rows, classify, pinned
 from millrace.operators.integrate import integrate
 from millrace.sinks.files import write_data
 from millrace.sinks.stage import new_folder, stage_table
 from millrace.sources.dimension import project_dimension, read_dimension
 from millrace.sources.raw import read_lines, split_fields
+from millrace.sources.spec import Dimension
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = registered()
@@ -88,3 +91,37 @@ def test_statement_sees_views_of_its_own_run(spark):
     integrate(spark, accepted.limit(0), fx.MAIN_SPEC)
     assert first.count() > 0
     assert "src" in statements.FACT_JOIN
+
+
+def test_hot_join_key_is_split(spark, home):
+    """A third of all lines share one key, and the dimension is too large to broadcast."""
+    spark.range(0, 60000, 1, 8).selectExpr(
+        "concat(id, '|', if(id % 3 = 0, 7, id % 5000), '|1|A|O') as value"
+    ).write.text(f"{home}/raw")
+    spark.range(0, 5000, 1, 1).selectExpr("id as k", "concat('brand', id % 10) as brand").write.csv(
+        f"{home}/dim", sep="|", header=True
+    )
+    session = spark.newSession()
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    query = (
+        "select d.brand, count(*) as n, sum(s.ok) as total from src s join dim d on s.pk = cast(d.k as int) "
+        "group by d.brand"
+    )
+    spec = replace(
+        fx.MAIN_SPEC, query=query, dimensions=(Dimension("dim", f"{home}/dim", "k, brand"),)
+    )
+    lines = split_fields(read_lines(session, f"{home}/raw"), "|")
+    joined = integrate(session, accepted_rows(pinned(classify(lines, spec)), spec), spec)
+    counts = {row.brand: row.n for row in joined.collect()}
+    keys = [7 if i % 3 == 0 else i % 5000 for i in range(60000)]
+    assert counts == Counter(f"brand{key % 10}" for key in keys)
+    assert "skew=true" in plan_of(joined)
