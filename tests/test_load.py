@@ -286,3 +286,18 @@ def test_scans_and_shuffles_are_sized_by_the_input(spark, home):
     session.fit_to_input(large, spark.range(0, 10**12, 1, 4))
     assert large.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "5"
     assert spark.conf.get(session.SCAN_TASKS, None) is None
+
+
+def test_staged_load_reads_the_raw_text_once(spark, home, monkeypatch):
+    """Raw text that changes after staging does not change any output."""
+
+    def stage_then_spoil(table, path):
+        staged = stage.stage_table(table, path)
+        put(f"{home}/raw/r.txt", "9|9|spoiled\n" * 7)
+        return staged
+
+    monkeypatch.setattr("millrace.plans.load.stage_table", stage_then_spoil)
+    result = run(spark, home, FACT)
+    assert not any("spoiled" in line for line in read(result.data_path))
+    assert set(read(f"{home}/error")) == LOG
+    assert read(f"{home}/audit") == [f"B1,A1,2,{STAMP},{STAMP},7,5,3"]
