@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, sharding
+from millrace.llm import ngram_join, packing, sharding, vector_dedup
 from millrace.llm.shared import table, text_key
 
 
@@ -17,6 +17,18 @@ def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(lengths)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: 4-word shingles, linked from a Jaccard similarity of 0.85."""
+    docs = table(spark, sf_dir, "documents")
+    found = ngram_join.jaccard_components(docs, ["doc_id"])
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``embeddings`` of equal label, linked from a cosine of 0.98."""
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), ["vec_id"])
+
+
 SHARDS = 40
 
 
@@ -44,6 +56,8 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_length_buckets": op5_length_buckets,
+        "op6_ngram_join": op6_ngram_join,
+        "op9_vector_dedup": op9_vector_dedup,
         "op10_histogram_sort": op10_histogram_sort,
     }
 

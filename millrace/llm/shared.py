@@ -290,12 +290,14 @@ def components(edges: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
         .distinct(),
         "links",
     )
-    seen = None
+
+    def sign(table: DataFrame):
+        return table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    seen = sign(links)
     for _ in range(rounds):
         links_next = staged(_small_star(_large_star(links)), "links")
-        now = links_next.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
+        now = sign(links_next)
         forget(links)
         links = links_next
         if now == seen:
@@ -350,3 +352,63 @@ def numbered(rows: DataFrame, group: list[str], spread: int = 64) -> DataFrame:
     return joined.withColumn("_number", F.col("_offset") + F.col("_place") - 1).drop(
         "_slot", "_s", "_offset", "_place", *[f"_g{i}" for i in range(len(group))]
     )
+
+
+def meetings(
+    nodes: DataFrame, node: str, group: str, weight: str, most_rows: int, most_weight: int
+) -> DataFrame:
+    """``node, meetings``: the bounded blocks in which each node meets those it may pair with.
+
+    ``nodes`` also has an int column ``class``; only nodes of one group whose classes differ by at
+    most one may pair. A group within both limits is one block. A larger one is cut into cells by
+    class and hash, and every two cells that may hold a pair form a block. A meeting is
+    ``(key, side, inner)``: the block, the node's cell, and whether pairs within a cell are the
+    block's own; every pair of nodes is then met in exactly one block.
+    """
+    size = F.greatest(F.count("*") / most_rows, F.sum(weight) / most_weight)
+    large = nodes.groupBy(group).agg(size.alias("size")).filter("size > 1").select(group)
+    cells = (
+        nodes.join(large, group)
+        .groupBy(group, "class")
+        .agg(F.ceil(2 * size).cast("int").alias("cells"))
+    )
+    wide = cells
+    for name, shift in (("lower", 1), ("upper", -1)):
+        other = cells.select(
+            group, (F.col("class") + shift).alias("class"), F.col("cells").alias(name)
+        )
+        wide = wide.join(other, [group, "class"], "left")
+    own = F.pmod(F.xxhash64(node), F.col("cells")).cast("int")
+    placed = nodes.join(wide, [group, "class"], "left").withColumn("own", own)
+    own, here = F.col("own"), F.col("class")
+
+    def met(count, first, second, low, high):
+        def one(j):
+            key = F.xxhash64(F.col(group), first, second, low(j), high(j))
+            return F.struct(
+                key.alias("key"),
+                F.xxhash64(here, own).alias("side"),
+                ((first == second) & (low(j) == high(j))).alias("inner"),
+            )
+
+        none = F.array().cast("array<struct<key:bigint,side:bigint,inner:boolean>>")
+        return F.when(
+            count > 0, F.transform(F.sequence(F.lit(0), count - 1), one)
+        ).otherwise(none)
+
+    below, above = (F.coalesce(c, F.lit(0)) for c in ("lower", "upper"))
+    cut = F.concat(
+        met(F.col("cells"), here, here, lambda j: F.least(own, j), lambda j: F.greatest(own, j)),
+        met(below, here - 1, here, lambda j: j, lambda j: own),
+        met(above, here, here + 1, lambda j: own, lambda j: j),
+    )
+    whole = F.array(
+        F.struct(
+            F.xxhash64(group).alias("key"),
+            F.lit(0).cast("bigint").alias("side"),
+            F.lit(True).alias("inner"),
+        )
+    )
+    return placed.select(
+        node, F.when(F.col("cells").isNull(), whole).otherwise(cut).alias("meetings")
+    )
