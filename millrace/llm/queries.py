@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ngram_join, packing, sharding, vector_dedup
+from millrace.llm import ngram_join, packing, sharding, substring_dedup, vector_dedup
 from millrace.llm.shared import table, text_key
 
 
+def op3_lz_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents`` without the words of repeated 35-word windows."""
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return cut.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``, packed by their words and one end each."""
     lengths = packing.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -55,6 +63,7 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_lz_substrings": op3_lz_substrings,
         "op5_length_buckets": op5_length_buckets,
         "op6_ngram_join": op6_ngram_join,
         "op9_vector_dedup": op9_vector_dedup,
