@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ngram_join, packing, sharding, substring_dedup, vector_dedup
+from millrace.llm import ngram_join, packing, secret_scan, sharding, substring_dedup, vector_dedup
 from millrace.llm.shared import table, text_key
 
 
@@ -32,6 +32,22 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all of ``documents``: base patterns and what the character models add."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``embeddings`` of equal label, linked from a cosine of 0.98."""
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), ["vec_id"])
@@ -66,6 +82,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_lz_substrings": op3_lz_substrings,
         "op5_length_buckets": op5_length_buckets,
         "op6_ngram_join": op6_ngram_join,
+        "op7_secret_scan": op7_secret_scan,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_histogram_sort": op10_histogram_sort,
     }

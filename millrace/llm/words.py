@@ -88,8 +88,11 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def split_words(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of an Arrow string array; ``lower`` maps A-Z to a-z first."""
+def split_words(texts: pa.Array, lower: bool = False, blank: np.ndarray = BLANK) -> Words:
+    """The words of an Arrow string array; ``lower`` maps A-Z to a-z first.
+
+    ``blank`` tells for each byte value whether it ends a word.
+    """
     texts = texts.cast(pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
@@ -101,7 +104,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     data = LOWER[data] if lower else data
-    solid = ~BLANK[data]
+    solid = ~blank[data]
     # A word starts at a solid byte after a blank one or at a text's first byte.
     before = np.empty(len(solid) + 1, bool)
     before[0], before[1:] = False, solid
