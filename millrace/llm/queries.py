@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ngram_join, packing, secret_scan, sharding, substring_dedup, vector_dedup
-from millrace.llm.shared import table, text_key
+from millrace.llm import (
+    ngram_join,
+    packing,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    toxicity,
+    vector_dedup,
+)
+from millrace.llm.shared import id_crc, table, text_key
 
 
 def op3_lz_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +56,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``, by labels of those whose id's crc32 modulo 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(id_crc("doc_id"), F.lit(4)) == 2
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic")
+    scored = toxicity.score_texts(docs, ["doc_id"], toxicity.train_model(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``embeddings`` of equal label, linked from a cosine of 0.98."""
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), ["vec_id"])
@@ -83,6 +100,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_length_buckets": op5_length_buckets,
         "op6_ngram_join": op6_ngram_join,
         "op7_secret_scan": op7_secret_scan,
+        "op8_toxicity": op8_toxicity,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_histogram_sort": op10_histogram_sort,
     }

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import Broadcasted, array_pieces, map_batches, sum_arrays
-from millrace.llm.words import LOWER, slices
+from millrace.llm.words import LOWER, slices, spaced_bytes
 
 # The base patterns, in the order in which kinds are listed, and their least lengths.
 ASSIGN = re.compile(
@@ -67,21 +67,9 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' bytes with one blank after each, and where each text starts."""
-    wide = texts.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
-    if not len(wide) or offsets[-1] == offsets[0]:
-        return np.full(len(wide), 32, np.uint8), np.arange(len(wide) + 1)
-    data = np.frombuffer(wide.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    out = np.insert(data, offsets[1:], 32)
-    return out, offsets + np.arange(len(offsets))
-
-
 def suspects(texts: pa.Array) -> np.ndarray:
     """Texts that may hold a span; the others certainly hold none."""
-    data, starts = _bytes(texts)
+    data, starts = spaced_bytes(texts)
     hit = np.zeros(len(texts), bool)
 
     def mark(places: np.ndarray) -> None:
@@ -117,7 +105,7 @@ def _count(docs: DataFrame) -> DataFrame:
             texts = batch.column(0)
             for a, b in slices(texts):
                 part = texts.slice(a, b - a)
-                data, _ = _bytes(part)
+                data, _ = spaced_bytes(part)
                 codes = CODE[data]
                 first, last = _runs(codes > 0)
                 short = last - first < ORDINARY
