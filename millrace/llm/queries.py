@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    lm_scoring,
     ngram_join,
     packing,
     secret_scan,
@@ -19,6 +20,12 @@ from millrace.llm import (
 from millrace.llm.shared import id_crc, table, text_key
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``; those whose id's crc32 modulo 5 is 1 are held out of training."""
+    held_out = F.pmod(id_crc("doc_id"), F.lit(5)) == 1
+    return lm_scoring.score(table(spark, sf_dir, "documents"), ["doc_id"], held_out)
+
+
 def op3_lz_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` without the words of repeated 35-word windows."""
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -96,6 +103,7 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op3_lz_substrings": op3_lz_substrings,
         "op5_length_buckets": op5_length_buckets,
         "op6_ngram_join": op6_ngram_join,
