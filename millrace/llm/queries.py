@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    graph_search,
     lm_scoring,
     ngram_join,
     packing,
@@ -34,6 +35,12 @@ def op3_lz_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of all ``embeddings`` to each whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return graph_search.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``, packed by their words and one end each."""
     lengths = packing.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -105,6 +112,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
         "op3_lz_substrings": op3_lz_substrings,
+        "op4_graph_search": op4_graph_search,
         "op5_length_buckets": op5_length_buckets,
         "op6_ngram_join": op6_ngram_join,
         "op7_secret_scan": op7_secret_scan,
