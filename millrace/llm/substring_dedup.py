@@ -140,19 +140,15 @@ def _window_rows(docs: DataFrame, window: int) -> DataFrame:
 
     def work(batch):
         texts = batch.column(batch.schema.get_field_index("text"))
-        ranges = batch.column(batch.schema.get_field_index("ranges")).to_pylist()
+        bounds, firsts, lasts = _pairs(batch.column(batch.schema.get_field_index("ranges")))
         for a, b in slices(texts):
             hashes, counts = _word_hashes(texts.slice(a, b - a))
             values = rolling(hashes, window)
             starts = np.concatenate([[0], np.cumsum(counts)])
-            rows, places = [], []
-            for i in range(a, b):
-                wanted = np.unique(
-                    np.concatenate([np.arange(r["first"], r["last"] + 1) for r in ranges[i]])
-                )
-                rows.append(np.full(len(wanted), i))
-                places.append(wanted)
-            owner, place = np.concatenate(rows), np.concatenate(places)
+            x, y = bounds[a], bounds[b]
+            many = lasts[x:y] - firsts[x:y] + 1
+            owner = np.repeat(np.repeat(np.arange(a, b), np.diff(bounds[a : b + 1])), many)
+            place = np.repeat(firsts[x:y] - np.cumsum(many) + many, many) + np.arange(many.sum())
             yield {
                 "_rows": owner,
                 "w": values[starts[owner - a] + place].view(np.int64),
@@ -162,31 +158,52 @@ def _window_rows(docs: DataFrame, window: int) -> DataFrame:
     return map_batches(docs, work, "w long, first int", ["_k1", "_k2"])
 
 
+def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """List bounds and both fields of an array of lists of two ints; null lists are empty."""
+    lengths = np.array(column.value_lengths().fill_null(0))
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    values = column.flatten()
+    return bounds, *(np.array(values.field(i)).astype(np.int64) for i in range(2))
+
+
+def _merged(first: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint runs that cover the same places, in order."""
+    if not len(first):
+        return []
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(end[order])
+    fresh = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
+    return list(zip(first[fresh].tolist(), end[np.append(fresh[1:], len(end)) - 1].tolist()))
+
+
 def _cut(docs: DataFrame, carry: list[str]) -> DataFrame:
     """Remove the words in ``spans`` and join the kept ones by a blank."""
 
     def work(batch):
-        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-        spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-        n_words, n_removed, kept, runs = [], [], [], []
-        for text, cover in zip(texts, spans, strict=True):
-            words = (text or "").encode().split()
-            n_words.append(len(words))
-            merged: list[list[int]] = []
-            for s in sorted((s["first"], s["end"]) for s in cover or ()):
-                if merged and s[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s[1])
-                else:
-                    merged.append(list(s))
-            left, at = [], 0
-            for start, end in merged:
-                left += words[at:start]
-                at = end
-            left += words[at:]
-            n_removed.append(len(words) - len(left))
-            kept.append(b" ".join(left).decode())
-            runs.append([{"first": s, "words": e - s} for s, e in merged])
-        yield {"n_words": n_words, "n_removed": n_removed, "kept_text": kept, "removed": runs}
+        column = batch.column(batch.schema.get_field_index("text"))
+        bounds, firsts, ends = _pairs(batch.column(batch.schema.get_field_index("spans")))
+        for a, b in slices(column):
+            n_words, n_removed, kept, runs = [], [], [], []
+            for i, text in enumerate(column.slice(a, b - a).to_pylist(), a):
+                words = (text or "").encode().split()
+                x, y = bounds[i], bounds[i + 1]
+                left, at, own = [], 0, []
+                for start, end in _merged(firsts[x:y], ends[x:y]):
+                    left += words[at:start]
+                    at = end
+                    own.append({"first": start, "words": end - start})
+                left += words[at:]
+                n_words.append(len(words))
+                n_removed.append(len(words) - len(left))
+                kept.append(b" ".join(left).decode())
+                runs.append(own)
+            yield {
+                "_rows": slice(a, b),
+                "n_words": n_words,
+                "n_removed": n_removed,
+                "kept_text": kept,
+                "removed": runs,
+            }
 
     ddl = (
         "n_words long, n_removed long, kept_text string, "

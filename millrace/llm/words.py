@@ -21,7 +21,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 
 # Bytes worked on at once: the wide temporaries take about forty times as much memory.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 600_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,15 +73,16 @@ class Words:
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+    def hashes(self, most: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, or of its first ``most`` bytes."""
         values = self.data.astype(np.uint64)
         values += np.uint64(1)
         values *= powers(len(values))
         sums = np.empty(len(values) + 1, np.uint64)
         sums[0] = 0
         np.cumsum(values, out=sums[1:])
-        out = (sums[self.end] - sums[self.start]) * powers(len(values) + 1, True)[self.start]
+        end = self.end if most is None else np.minimum(self.end, self.start + most)
+        out = (sums[end] - sums[self.start]) * powers(len(values) + 1, True)[self.start]
         return mix(out)
 
     def word(self, i: int) -> bytes:
@@ -134,6 +135,18 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES):
         at = to
 
 
+def spaced_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes with one blank after each, and where each text starts."""
+    wide = texts.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    if not len(wide) or offsets[-1] == offsets[0]:
+        return np.full(len(wide), 32, np.uint8), np.arange(len(wide) + 1)
+    data = np.frombuffer(wide.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    out = np.insert(data, offsets[1:], 32)
+    return out, offsets + np.arange(len(offsets))
+
+
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of each run of ``width`` consecutive values, position by position."""
     n = len(hashes) - width + 1
