@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from millrace.llm import (
     lm_scoring,
     ngram_join,
     packing,
+    piece_sampling,
     secret_scan,
     sharding,
     substring_dedup,
@@ -27,6 +29,20 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"), ["doc_id"], held_out)
 
 
+def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every text of ``documents``."""
+    found = piece_sampling.sample_segmentations(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "sample",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_probability",
+        "perturbed",
+        "inclusion",
+    )
+
+
 def op3_lz_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` without the words of repeated 35-word windows."""
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -108,9 +124,14 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
+        "op2_piece_sampling": op2_piece_sampling,
         "op3_lz_substrings": op3_lz_substrings,
         "op4_graph_search": op4_graph_search,
         "op5_length_buckets": op5_length_buckets,
@@ -118,6 +139,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_secret_scan": op7_secret_scan,
         "op8_toxicity": op8_toxicity,
         "op9_vector_dedup": op9_vector_dedup,
+        "pipeline": pipeline,
         "op10_histogram_sort": op10_histogram_sort,
     }
 
