@@ -230,6 +230,15 @@ def oracle_statements() -> dict[str, str]:
         + _texts(["ok", "pk", "sk", "rf", "ls"], "select ok, pk, sk, trim(rf) as rf, nullif(ls, '') as ls from src"),
         "log_sink": MARKER + LOG,
         "fact_load": FACT + _texts(["brand", "n", "ssk", "nations"], statements.FACT_JOIN),
+        "two_folder_load": FACT
+        + _texts(["brand", "n", "ssk", "nations"], statements.FACT_JOIN),
+        "double_separator_load": FACT
+        + _texts(["brand", "n", "ssk", "nations"], statements.FACT_JOIN),
+        "manifest_load": "select concat_ws('|', name, cast(n as varchar), "
+        f"{RUN}) as line from (select 'dims' as name, count(*) as n from part "
+        "union all select 'dims', count(*) from supplier union all select 'all', "
+        "(select count(*) from part) + (select count(*) from supplier) + "
+        "(select count(*) from customer)) m",
         "fact_load_audit": FACT + RECORD,
         "fact_load_errors": FACT_MARKER + LOG,
         "dimension_load": MAIN

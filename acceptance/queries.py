@@ -15,8 +15,9 @@ from millrace.operators import classify as checks
 from millrace.operators import metrics, rejects
 from millrace.operators.integrate import integrate, stamp
 from millrace.plans.load import DIMENSION, FACT, LoadResult, Options, Preset, run_load
+from millrace.plans.manifest import run_manifest
 from millrace.sinks.files import dated_path, dated_timed_path, write_data, write_log
-from millrace.sinks.stage import new_folder
+from acceptance.scratch import new_folder
 from millrace.sources.dimension import project_dimension, read_dimension
 from millrace.sources.raw import join_fields, read_lines, split_fields
 from millrace.sources.spec import lookup_setting, section_entries
@@ -185,7 +186,11 @@ def reject_log_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.run_counts(fx.classified_main(spark, sf_dir), fact_join(spark, sf_dir))
+    """The counts of a whole load, as one row."""
+    counts = _load(spark, sf_dir, DIMENSION, fx.main_lines(spark, sf_dir), True).counts
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
+    )
 
 
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,13 +232,16 @@ def _load(
     spark: SparkSession,
     sf_dir: str,
     preset: Preset,
-    lines: DataFrame,
+    lines: DataFrame | None,
     dims: bool,
     options: Options = Options(),
+    raw: str | None = None,
+    separator: str = "|",
 ) -> LoadResult:
     """Write raw lines, spec and dimension files, run a whole load over them."""
     home = new_folder(spark, "load")
-    lines.write.text(f"{home}/raw")
+    if lines is not None:
+        lines.write.text(f"{home}/raw")
     part = fx.table(spark, sf_dir, "part").select(*PART_COLUMNS)
     supplier = fx.table(spark, sf_dir, "supplier").select(*SUPPLIER_COLUMNS)
     write_data(part, f"{home}/part", "|")
@@ -244,12 +252,14 @@ def _load(
         {"part_dim": ("part", PART_SELECT), "supplier_dim": ("supplier", SUPPLIER_SELECT)}
         if dims
         else {},
-    )
+    ).replace("Sep:=|", f"Sep:={separator}")
     spark.range(0, 1, 1, 1).select(F.lit(spec).alias("value")).write.text(f"{home}/spec")
     return run_load(
         spark,
         preset,
-        *[f"{home}/{name}" for name in ("spec", "raw", "out", "error", "audit")],
+        f"{home}/spec",
+        raw or f"{home}/raw",
+        *[f"{home}/{name}" for name in ("out", "error", "audit")],
         options=options,
         now=lambda: fx.RUN_MOMENT,
     )
@@ -260,6 +270,36 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dimension(spark, _load(spark, sf_dir, FACT, lines, True).data_path)
 
 
+def two_folder_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load over two folders at once, the lines dealt to them by their length."""
+    home = new_folder(spark, "two")
+    lines = fx.main_lines(spark, sf_dir)
+    odd = F.length("value") % 2 == 1
+    lines.filter(odd).write.text(f"{home}/odd")
+    lines.filter(~odd).write.text(f"{home}/even")
+    result = _load(spark, sf_dir, FACT, None, True, raw=f"{home}/odd, {home}/even")
+    return read_dimension(spark, result.data_path)
+
+
+def double_separator_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose fields, in and out, are separated by two characters."""
+    lines = fx.main_lines(spark, sf_dir).select(
+        F.replace("value", F.lit("|"), F.lit("||")).alias("value")
+    )
+    result = _load(spark, sf_dir, FACT, lines, True, separator="||")
+    return read_dimension(spark, result.data_path, "||")
+
+
+def manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole manifest run; one name stands for two folders."""
+    home = new_folder(spark, "manifest")
+    for name in ("customer", "part", "supplier"):
+        join_fields(fx.table(spark, sf_dir, name)).write.text(f"{home}/{name}")
+    pairs = [("dims", f"{home}/part"), ("dims", f"{home}/supplier"), ("all", f"{home}/*")]
+    run_manifest(spark, pairs, f"{home}-out", lambda: fx.RUN_MOMENT)
+    return read_lines(spark, f"{home}-out").withColumnRenamed("value", "line")
+
+
 def fact_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = _load(spark, sf_dir, FACT, fx.main_lines(spark, sf_dir), True)
     return read_lines(spark, result.audit_path).withColumnRenamed("value", "line")
@@ -313,6 +353,9 @@ def registered() -> dict[str, Query]:
         data_sink,
         log_sink,
         fact_load,
+        two_folder_load,
+        double_separator_load,
+        manifest_load,
         fact_load_audit,
         fact_load_errors,
         dimension_load,

@@ -26,11 +26,20 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def named_folders(texts: list[str]) -> list[tuple[str, str]]:
+    """``NAME=FOLDER`` arguments as pairs; a name may come twice."""
+    for text in texts:
+        if not text.partition("=")[1]:
+            raise SystemExit(f"manifest folders are NAME=FOLDER, not {text!r}")
+    return [tuple(text.split("=", 1)) for text in texts]
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
+    folders = named_folders(args.folders) if args.run == "manifest" else []
     spark = build_session(f"millrace-{args.run}")
     if args.run == "manifest":
-        run_manifest(spark, dict(f.split("=", 1) for f in args.folders), args.output)
+        run_manifest(spark, folders, args.output)
         return
     options = Options(
         data_files=args.data_files,

@@ -6,6 +6,8 @@ all come from the same pass.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -162,11 +164,26 @@ def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
     )
 
 
-def accepted_rows(classified: DataFrame, spec: JobSpec) -> DataFrame:
-    """The declared table: accepted rows, declared names and types."""
-    return classified.filter(F.col(STATUS) == OK).select(
-        *[F.col(value_name(i)).alias(name) for i, (name, _) in enumerate(spec.columns)]
-    )
+def accepted_rows(
+    classified: DataFrame, spec: JobSpec, read: Collection[int] | None = None
+) -> DataFrame:
+    """The declared table: accepted rows, declared names and types.
+
+    ``read`` are the positions that ``classified`` still has; the others come as nulls.
+    """
+    columns = []
+    for i, (name, _) in enumerate(spec.columns):
+        there = read is None or i in read
+        value = F.col(value_name(i)) if there else F.lit(None).cast(spec.schema[i].dataType)
+        columns.append(value.alias(name))
+    return classified.filter(F.col(STATUS) == OK).select(*columns)
+
+
+def narrowed(classified: DataFrame, read: Collection[int]) -> DataFrame:
+    """Control columns and the typed columns in ``read``, which are null unless accepted."""
+    accepted = F.col(STATUS) == OK
+    values = [F.when(accepted, F.col(value_name(i))).alias(value_name(i)) for i in sorted(read)]
+    return classified.select(STATUS, MARKED, RECORD_KEY, MESSAGE, *values)
 
 
 def failed_conversions(classified: DataFrame) -> DataFrame:

@@ -34,6 +34,34 @@ def integrate(spark: SparkSession, accepted: DataFrame, spec: JobSpec) -> DataFr
     return spark.sql(spec.query)
 
 
+def columns_read(spark: SparkSession, spec: JobSpec) -> frozenset[int]:
+    """Analyse the statement before any data is touched: the source positions it reads.
+
+    The source view stands for a table without rows that the optimizer knows nothing about, so an
+    unknown column, a syntax error or a missing dimension fails here. A position counts as read if
+    the optimized plan mentions it anywhere above the source.
+    """
+    source = spark.createDataFrame(spark.sparkContext.emptyRDD(), spec.schema)
+    plan = integrate(spark, source, spec)._jdf.queryExecution().optimizedPlan()
+    leaves, mentioned = [], set()
+
+    def ids(attributes) -> list[int]:
+        return [attributes.apply(i).exprId().id() for i in range(attributes.size())]
+
+    def walk(node) -> None:
+        for inner in (node.children(), node.subqueries()):
+            for i in range(inner.size()):
+                walk(inner.apply(i))
+        if node.nodeName() == "LogicalRDD" or "ExistingRDD" in node.nodeName():
+            leaves.append(ids(node.output()))
+        else:
+            mentioned.update(ids(node.references().toSeq()))
+
+    walk(plan)
+    mentioned.update(ids(plan.output()))
+    return frozenset(i for leaf in leaves for i, name in enumerate(leaf) if name in mentioned)
+
+
 def stamp(integrated: DataFrame, load_time: str, batch_id: str) -> DataFrame:
     """Add the seven load columns; a column of the same name is replaced in its place."""
     # Fixed column names, in output order. One of them holds a blank.

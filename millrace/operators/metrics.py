@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.classify import ARITY, CONVERT, MARKED, OK, REQUIRED, STATUS
 from millrace.operators.rejects import is_logged
-from millrace.sources.raw import read_lines
+from millrace.sources.raw import input_paths, read_lines
 
 # Fixed status code of a run record: in progress.
 IN_PROGRESS = "2"
@@ -48,24 +49,6 @@ def line_counts(
     return classified.agg(*line_count_columns(strict, log_required))
 
 
-def run_counts(
-    classified: DataFrame,
-    integrated: DataFrame,
-    strict: bool = False,
-    log_required: bool = False,
-) -> DataFrame:
-    """``line_counts`` plus ``records_written``, the rows of the integration result.
-
-    Both sides shrink to one row before they meet, so the last step adds two rows.
-    """
-    lines = line_counts(classified, strict, log_required)
-    written = integrated.agg(F.count("*").alias("records_written"))
-    both = lines.unionByName(written, allowMissingColumns=True)
-    return both.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in both.columns]
-    )
-
-
 def run_record(
     counts: DataFrame,
     batch_id: str,
@@ -93,14 +76,20 @@ def run_record_line(record: DataFrame) -> DataFrame:
 
 
 def folder_manifest(
-    spark: SparkSession, folders: dict[str, str], counted_at: str
+    spark: SparkSession,
+    folders: Mapping[str, str] | Sequence[tuple[str, str]],
+    counted_at: str,
 ) -> DataFrame:
-    """``name, record_count, counted_at`` per folder; each folder is counted where it lies."""
+    """``name, record_count, counted_at`` per folder; each folder is counted where it lies.
+
+    Pairs may repeat a name. A path may be a comma-separated list, as in a load.
+    """
+    pairs = folders.items() if isinstance(folders, Mapping) else folders
     counts = [
-        read_lines(spark, path)
+        read_lines(spark, *input_paths(path))
         .agg(F.count("*").alias("record_count"))
         .select(F.lit(name).alias("name"), "record_count", F.lit(counted_at).alias("counted_at"))
-        for name, path in folders.items()
+        for name, path in pairs
     ]
     return reduce(DataFrame.unionByName, counts)
 

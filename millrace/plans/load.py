@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,17 +10,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import clock
-from millrace.operators.classify import accepted_rows, classify, pinned
-from millrace.operators.integrate import integrate, stamp
+from millrace.operators.classify import OK, STATUS, accepted_rows, classify, narrowed, pinned
+from millrace.operators.integrate import columns_read, integrate, stamp
 from millrace.operators.metrics import (
     IN_PROGRESS,
     line_count_columns,
-    line_counts,
     run_record,
     run_record_line,
 )
-from millrace.operators.rejects import RunLabel, logged_rows, reject_lines
-from millrace.session import fit_to_input, job_session
+from millrace.operators.rejects import RunLabel, is_logged, logged_rows, reject_lines
+from millrace.session import (
+    BYTES_PER_SHUFFLE_PARTITION,
+    MOST_SCAN_TASKS,
+    MOST_SHUFFLE_PARTITIONS,
+    fit_scans,
+    fit_shuffles,
+    job_session,
+)
 from millrace.sinks.files import (
     dated_path,
     delete_folder,
@@ -31,7 +37,7 @@ from millrace.sinks.files import (
     write_small_log,
 )
 from millrace.sinks.stage import new_folder, stage_table
-from millrace.sources.raw import read_lines, split_fields
+from millrace.sources.raw import input_paths, read_lines, split_fields
 from millrace.sources.spec import JobSpec, load_spec
 
 
@@ -54,8 +60,11 @@ class Options:
     ``data_files`` / ``log_files`` ask for a number of output files. ``strict`` and
     ``log_required`` choose what the error log holds. ``match`` is how spec sections are told
     apart. ``stage=False`` stages the rejects only and reads the raw text a second time for the
-    data: the better trade where a statement needs few of many columns, or where there is no
-    room for a staged copy of all accepted rows.
+    data, where there is no room for a staged copy of the columns the statement reads.
+
+    ``most_scan_tasks`` bounds the tasks of the raw scan. Shuffles start with a partition for each
+    ``shuffle_bytes`` of the staged table (of the raw text with ``stage=False``), at most
+    ``most_shuffle_partitions``. A setting the caller's session already has goes first.
     """
 
     data_files: int | None = None
@@ -65,6 +74,9 @@ class Options:
     match: str = "exact"
     run_status: str = IN_PROGRESS
     stage: bool = True
+    most_scan_tasks: int = MOST_SCAN_TASKS
+    shuffle_bytes: int = BYTES_PER_SHUFFLE_PARTITION
+    most_shuffle_partitions: int = MOST_SHUFFLE_PARTITIONS
 
 
 @dataclass(frozen=True)
@@ -81,7 +93,7 @@ def run_load(
     spark: SparkSession,
     preset: Preset,
     spec_path: str,
-    raw_path: str,
+    raw_path: str | Sequence[str],
     output_path: str,
     error_path: str,
     audit_path: str,
@@ -90,8 +102,9 @@ def run_load(
 ) -> LoadResult:
     """Run a load and write its three outputs.
 
-    By default the raw text is read once: classified lines go to a staged table, and data,
-    rejects and counts read the columns they need from there.
+    The statement is analysed first. By default the raw text is then read once: accepted rows, with
+    the columns the statement reads, and rejects go to a staged table, counted in the same pass.
+    ``raw_path`` may be a comma-separated list of files, folders and globs, or a sequence.
     """
     session = job_session(spark)
     spec = load_spec(
@@ -100,6 +113,7 @@ def run_load(
     for log_path in (error_path, audit_path):
         if path_exists(session, log_path):
             raise FileExistsError(f"log folder {log_path} exists; nothing was written")
+    read = columns_read(session, spec)
 
     started = now()
     start_time = clock.stamp(started)
@@ -107,17 +121,32 @@ def run_load(
     staged_path = new_folder(session, "classified")
     log_choice = (options.strict, options.log_required)
     try:
-        lines = read_lines(session, raw_path)
-        fit_to_input(session, lines)
+        fit_scans(session, options.most_scan_tasks)
+        lines = read_lines(session, *input_paths(raw_path))
         classified = classify(split_fields(lines, spec.separator), spec)
         if options.stage:
-            classified = logged = stage_table(classified, staged_path)
-            counts = line_counts(classified, *log_choice).first().asDict()
+            wanted = (F.col(STATUS) == OK) | is_logged(*log_choice)
+            staged, counts = _stage_counted(
+                classified, lambda rows: narrowed(rows.filter(wanted), read), staged_path, log_choice
+            )
+            accepted = accepted_rows(staged, spec, read)
+            logged = staged
         else:
-            classified = pinned(classified)
-            logged, counts = _stage_logged(classified, staged_path, log_choice)
+            logged, counts = _stage_counted(
+                pinned(classified),
+                lambda rows: logged_rows(rows, *log_choice),
+                staged_path,
+                log_choice,
+            )
+            accepted = accepted_rows(pinned(classified), spec)
+        fit_shuffles(
+            session,
+            staged if options.stage else lines,
+            options.shuffle_bytes,
+            options.most_shuffle_partitions,
+        )
         counts["records_written"] = _write_integrated(
-            session, classified, spec, data_path, start_time, options
+            session, accepted, spec, data_path, start_time, options
         )
         end_time = clock.stamp(now())
 
@@ -141,21 +170,24 @@ def run_load(
     return LoadResult(data_path, error_path, audit_path, start_time, end_time, counts)
 
 
-def _stage_logged(
-    classified: DataFrame, path: str, log_choice: tuple[bool, bool]
+def _stage_counted(
+    classified: DataFrame,
+    keep: Callable[[DataFrame], DataFrame],
+    path: str,
+    log_choice: tuple[bool, bool],
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Stage the rows the error log needs and count all lines in the same pass.
+    """Stage what ``keep`` leaves and count all lines in the same pass.
 
     Scan, checks and write are one stage, the job's last, whose observed counts are exact.
     """
     observation = Observation()
     observed = classified.observe(observation, *line_count_columns(*log_choice))
-    return stage_table(logged_rows(observed, *log_choice), path), observation.get
+    return stage_table(keep(observed), path), observation.get
 
 
 def _write_integrated(
     session: SparkSession,
-    classified: DataFrame,
+    accepted: DataFrame,
     spec: JobSpec,
     data_path: str,
     load_time: str,
@@ -167,7 +199,7 @@ def _write_integrated(
     counts each task's result once however often the task ran, so no second run is needed.
     """
     integrated = stamp(
-        integrate(session, accepted_rows(classified, spec), spec), load_time, spec.batch_id
+        integrate(session, accepted, spec), load_time, spec.batch_id
     )
     observation = Observation()
     observed = sized(integrated, options.data_files).observe(

@@ -12,6 +12,14 @@ STATEMENT_SETTINGS = {
 }
 
 
+# Lets adaptive execution split a hot join key even where that adds a shuffle.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def job_session(spark: SparkSession) -> SparkSession:
     """A session of the same application with its own views and settings.
 
@@ -23,30 +31,44 @@ def job_session(spark: SparkSession) -> SparkSession:
             session.conf.set(key, value)
     for key, value in STATEMENT_SETTINGS.items():
         session.conf.set(key, value)
+    for key, value in SKEW_SETTINGS.items():
+        if session.conf.get(key, None) is None:
+            session.conf.set(key, value)
     return session
 
 
-# Upper bounds, so that neither scan tasks nor shuffle blocks swamp the scheduler.
 MOST_SCAN_TASKS = 100_000
-MOST_SHUFFLE_PARTITIONS = 20_000
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+MOST_SHUFFLE_PARTITIONS = 100_000
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
 
 SCAN_TASKS = "spark.sql.files.maxPartitionNum"
 FIRST_SHUFFLE_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def fit_to_input(session: SparkSession, lines: DataFrame) -> None:
-    """Size a load's scans and shuffles by its input, where the caller left them open.
+def fit_scans(session: SparkSession, most_tasks: int = MOST_SCAN_TASKS) -> None:
+    """Bound a load's scan tasks, where the caller left them open.
 
-    A scan of 100 TB gets tasks of a gigabyte in place of 800,000 small ones, each of which
-    would also leave a staged file. Shuffles start with enough partitions for the whole input;
-    adaptive execution merges what turns out small.
+    A scan of 100 TB gets tasks of a gigabyte in place of 800,000 small ones, each of which would
+    also leave a staged file.
     """
     if session.conf.get(SCAN_TASKS, None) is None:
-        session.conf.set(SCAN_TASKS, str(MOST_SCAN_TASKS))
+        session.conf.set(SCAN_TASKS, str(most_tasks))
+
+
+def fit_shuffles(
+    session: SparkSession,
+    table: DataFrame,
+    bytes_per_partition: int = BYTES_PER_SHUFFLE_PARTITION,
+    most: int = MOST_SHUFFLE_PARTITIONS,
+) -> None:
+    """Start shuffles with partitions by the size of ``table``, where the caller left that open.
+
+    ``table`` is the staged one where there is one, so compressed raw text counts by what it holds.
+    Adaptive execution merges what turns out small.
+    """
     if session.conf.get(FIRST_SHUFFLE_PARTITIONS, None) is None:
-        size = int(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        wanted = min(size // INPUT_BYTES_PER_SHUFFLE_PARTITION, MOST_SHUFFLE_PARTITIONS)
+        size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        wanted = min(size // bytes_per_partition, most)
         usual = int(session.conf.get("spark.sql.shuffle.partitions"))
         session.conf.set(FIRST_SHUFFLE_PARTITIONS, str(max(wanted, usual)))
 
@@ -56,9 +78,7 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    defaults = SKEW_SETTINGS | {
         # Records a call site per column expression, which doubles the time to build a plan.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

@@ -38,10 +38,15 @@ def sized(table: DataFrame, files: int | None) -> DataFrame:
     return table if files is None else table.repartition(files)
 
 
+def csv_delimiter(separator: str) -> str:
+    """A separator as the CSV reader and writer want it: they read a backslash as an escape."""
+    return separator.replace("\\", "\\\\")
+
+
 def write_data(table: DataFrame, path: str, separator: str) -> None:
     """Header CSV that replaces what is there. Empty text is written as nothing."""
     table.write.mode("overwrite").options(
-        header=True, delimiter=separator, emptyValue=""
+        header=True, delimiter=csv_delimiter(separator), emptyValue=""
     ).csv(path)
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# The folder of a local session that names none: one per process, gone when it ends.
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names. Only a local session may go without."""
@@ -22,8 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-    return context.getCheckpointDir()
+    if not _LOCAL:
+        _LOCAL.append(tempfile.TemporaryDirectory(prefix="millrace-"))
+    return f"file://{_LOCAL[0].name}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sinks.files import csv_delimiter
+
 # Dimension files keep this delimiter whatever separator the raw input has.
 DIMENSION_DELIMITER = "|"
 
@@ -12,7 +14,7 @@ def read_dimension(
     spark: SparkSession, path: str, delimiter: str = DIMENSION_DELIMITER
 ) -> DataFrame:
     """All columns stay text, so the scan needs no inference pass; empty text reads as null."""
-    return spark.read.options(header=True, delimiter=delimiter).csv(path)
+    return spark.read.options(header=True, delimiter=csv_delimiter(delimiter)).csv(path)
 
 
 def project_dimension(

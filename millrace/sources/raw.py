@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,16 @@ from millrace.functions.text import literal_pattern
 FIELDS = "fields"
 
 
+def input_paths(paths: str | Sequence[str]) -> list[str]:
+    """The files, folders and globs of a comma-separated list, or of a sequence as it is.
+
+    A comma inside the braces of a glob does not separate.
+    """
+    if not isinstance(paths, str):
+        return list(paths)
+    return [p.strip() for p in re.findall(r"(?:\{[^}]*\}|[^,])+", paths) if p.strip()]
+
+
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Lines of a file, folder or glob as one ``value`` column; CR, LF and CRLF end a line."""
     return spark.read.text(list(paths))

@@ -152,6 +152,10 @@ def lookup_setting(lines: DataFrame, name: str) -> DataFrame:
     )
 
 
+# A separator that holds one of these would not come back from the written data.
+UNWRITABLE = '"\r\n'
+
+
 def read_setting(spark: SparkSession, path: str, name: str) -> str:
     row = lookup_setting(read_spec_lines(spark, path), name).first()
     if row.bad_line is not None:
@@ -206,6 +210,8 @@ def load_spec(
     separator = need(DATA, SEPARATOR_KEY)
     if not separator:
         raise ValueError(f"spec has an empty {DATA}{TOKEN_MARK}{SEPARATOR_KEY}")
+    if any(c in separator for c in UNWRITABLE):
+        raise ValueError(f"separator {separator!r}: the data writer needs its quote and line ends")
     positions = list(sections.get(NON_NULLABLE, {}).values())
     if not all(text.lstrip("+-").isdecimal() for text in positions):
         raise ValueError(f"{NON_NULLABLE} positions must be numbers: {positions}")

@@ -9,10 +9,11 @@ from datetime import datetime
 import pytest
 
 from millrace import DIMENSION, FACT, Options, run_dimension_load, run_fact_load, run_load, run_manifest
-from millrace.__main__ import parse
+from millrace.__main__ import main, parse
 from millrace import session
 from millrace.functions import clock
 from millrace.sinks import files, stage
+from millrace.sources import dimension
 
 NOW = datetime(2024, 3, 5, 6, 7, 8)
 STAMP = "2024-03-05 06:07:08"
@@ -269,25 +270,169 @@ def test_command_line():
     assert parse(["manifest", "m", "A=/x", "B=/y"]).folders == ["A=/x", "B=/y"]
 
 
-def test_scans_and_shuffles_are_sized_by_the_input(spark, home):
-    put(f"{home}/raw/r.txt", "x" * 1000)
-    lines = spark.read.text(f"{home}/raw")
+def test_shuffles_are_sized_by_the_table(spark):
+    def first(rows, **limits):
+        own = session.job_session(spark)
+        session.fit_shuffles(own, spark.range(0, rows, 1, 4), **limits)
+        return own.conf.get(session.FIRST_SHUFFLE_PARTITIONS)
+
+    assert first(1000) == "8"
+    assert first(10**12) == str(8 * 10**12 // session.BYTES_PER_SHUFFLE_PARTITION)
+    assert first(10**15) == str(session.MOST_SHUFFLE_PARTITIONS)
+    assert first(10**15, most=5000) == "5000"
     own = session.job_session(spark)
-    session.fit_to_input(own, lines)
-    assert own.conf.get(session.SCAN_TASKS) == "100000"
-    assert own.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "8"
-    large = session.job_session(spark)
-    session.fit_to_input(large, spark.range(0, 10**12, 1, 4))
-    assert large.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "14901"
-    huge = session.job_session(spark)
-    session.fit_to_input(huge, spark.range(0, 10**15, 1, 4))
-    assert huge.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "20000"
-    large.conf.set(session.FIRST_SHUFFLE_PARTITIONS, "5")
-    session.fit_to_input(large, spark.range(0, 10**12, 1, 4))
-    assert large.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "5"
+    own.conf.set(session.FIRST_SHUFFLE_PARTITIONS, "5")
+    session.fit_shuffles(own, spark.range(0, 10**12, 1, 4))
+    session.fit_scans(own)
+    assert own.conf.get(session.FIRST_SHUFFLE_PARTITIONS) == "5"
+    assert own.conf.get(session.SCAN_TASKS) == str(session.MOST_SCAN_TASKS)
     assert spark.conf.get(session.SCAN_TASKS, None) is None
 
 
+def test_compressed_input_is_sized_by_what_it_holds(spark, home, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        "millrace.plans.load.fit_shuffles",
+        lambda own, table, *limits: seen.append(
+            int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        ),
+    )
+    rows = [f"{i}|{i * 7919 % 10007}.5|name{i * 104729 % 1000003}" for i in range(20000)]
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.option(
+        "compression", "gzip"
+    ).text(f"{home}/zipped")
+    spec = put(f"{home}/spec/s.txt", SPEC.format(query="select * from src", sep="|"))
+    paths = [f"{home}/{name}" for name in ("out", "error", "audit")]
+    run_load(spark, FACT, spec, f"{home}/zipped", *paths)
+    zipped = sum(os.path.getsize(f) for f in glob.glob(f"{home}/zipped/part-*"))
+    assert seen[0] > zipped
+
+
+@pytest.mark.parametrize("staged", [True, False])
+@pytest.mark.parametrize(
+    "query, extra",
+    [
+        ("select nothing from src", ""),
+        ("select id frm src x y", ""),
+        ("select s.id from src s join dim d on s.id = d.k", "FactJoin:=dim:=/nowhere/at/all:=k\n"),
+    ],
+)
+def test_bad_statement_stops_before_data_is_touched(spark, home, monkeypatch, query, extra, staged):
+    calls = []
+    monkeypatch.setattr("millrace.plans.load.stage_table", lambda *a: calls.append(a))
+    with pytest.raises(Exception):
+        run(spark, home, FACT, query=query, extra=extra, stage=staged)
+    assert not calls and not os.path.exists(f"{home}/out")
+
+
+@pytest.mark.parametrize(
+    "query, read",
+    [
+        ("select * from src", {0, 1, 2}),
+        ("select id from src where price > 1", {0, 1}),
+        ("select count(*) n from src", set()),
+        ("select 1 as one", set()),
+        ("select a.id from src a join src b on a.id = b.price", {0, 1}),
+        ("select id from (select *, upper(name) u from src)", {0}),
+        ("select id from src where price in (select id from src where name = 'x')", {0, 1, 2}),
+        ("select (select max(price) from src) as top", {1}),
+    ],
+)
+def test_only_columns_the_statement_reads_are_staged(spark, home, monkeypatch, query, read):
+    seen = []
+
+    def spy(table, path):
+        seen.append({c for c in table.columns if c.startswith("v")})
+        return stage.stage_table(table, path)
+
+    monkeypatch.setattr("millrace.plans.load.stage_table", spy)
+    staged = run(spark, home, FACT, query=query)
+    assert seen == [{f"v{i}" for i in read}]
+    rescan = run(spark, f"{home}/again", FACT, query=query, stage=False)
+    assert sorted(read_all(staged)) == sorted(read_all(rescan))
+
+
+def read_all(result):
+    return read(result.data_path)
+
+
+def test_wide_record_stages_six_columns(spark, home, monkeypatch):
+    seen = []
+
+    def spy(table, path):
+        seen.append([c for c in table.columns if c.startswith("v")])
+        return stage.stage_table(table, path)
+
+    monkeypatch.setattr("millrace.plans.load.stage_table", spy)
+    kinds = ["IntegerType", "DoubleType", "StringType"]
+    columns = "".join(f"MetaData:=c{i}:={kinds[i % 3]}\n" for i in range(200))
+    query = "select c0, c1, c2, c50 from src where c99 >= 0 and c199 is not null"
+    body = SPEC.format(query=query, sep="|").split("\n", 3)[3]
+    spec = put(f"{home}/spec/s.txt", columns + body)
+    raw = os.path.dirname(put(f"{home}/raw/r.txt", "|".join(["7"] * 200) + "\n"))
+    paths = [f"{home}/{name}" for name in ("out", "error", "audit")]
+    assert run_load(spark, FACT, spec, raw, *paths).counts["records_written"] == 1
+    assert seen == [["v0", "v1", "v2", "v50", "v99", "v199"]]
+
+
+def test_several_input_paths(spark, home):
+    put(f"{home}/a/1.txt", "1|2|x\n")
+    put(f"{home}/b/1.txt", "2|2|y\n")
+    put(f"{home}/c,d/1.txt", "3|2|z\n")
+    spec = put(f"{home}/spec/s.txt", SPEC.format(query="select id from src", sep="|"))
+
+    def count(raw, name):
+        paths = [f"{home}/{name}/{kind}" for kind in ("out", "error", "audit")]
+        return run_load(spark, FACT, spec, raw, *paths).counts["records_written"]
+
+    assert count(f"{home}/a, {home}/b", "one") == 2
+    assert count(f"{home}/{{a,b}}/*.txt", "two") == 2
+    assert count([f"{home}/a", f"{home}/c,d"], "three") == 2
+
+
+@pytest.mark.parametrize("sep", ["||", r"\t", "\\", r"\E", r"a\Eb", "#", r"\u", ";"])
+def test_separators_come_back_from_written_data(spark, home, sep):
+    real = "\t" if sep == r"\t" else sep
+    raw = [real.join(["1", "2.5", "ann"]), real.join(["2", "x", "bob"]), real.join(["3", "1", ""])]
+    result = run(spark, home, FACT, sep=sep, raw=raw)
+    assert result.counts["records_written"] == 2 and result.counts["convert"] == 1
+    back = dimension.read_dimension(spark, result.data_path, real)
+    assert back.columns[:3] == ["id", "price", "name"]
+    assert sorted(tuple(r)[:3] for r in back.collect()) == [("1", "2.5", "ann"), ("3", "1.0", None)]
+
+
+def test_separator_the_writer_cannot_use_is_refused(spark, home):
+    with pytest.raises(ValueError, match="separator"):
+        run(spark, home, FACT, sep='"')
+    assert not os.path.exists(f"{home}/out")
+
+
+def test_manifest_counts_every_folder_of_a_repeated_name(spark, home, monkeypatch):
+    put(f"{home}/a/1.txt", "x\ny\n")
+    put(f"{home}/b/1.txt", "z\n")
+    monkeypatch.setattr("millrace.__main__.build_session", lambda name: spark)
+    main(["manifest", f"{home}/m", f"A={home}/a", f"A={home}/b", f"both={home}/a,{home}/b"])
+    assert sorted(line.rsplit("|", 1)[0] for line in read(f"{home}/m")) == ["A|1", "A|2", "both|3"]
+    with pytest.raises(SystemExit, match="NAME=FOLDER"):
+        main(["manifest", f"{home}/m2", f"{home}/a"])
+
+
+def test_loads_from_the_command_line(spark, home, monkeypatch):
+    monkeypatch.setattr("millrace.__main__.build_session", lambda name: spark)
+    spec = put(f"{home}/spec/s.txt", SPEC.format(query="select id from src", sep="|"))
+    put(f"{home}/raw/r.txt", "\n".join(RAW) + "\n")
+    for kind, written in (("fact", 5), ("dimension", 3)):
+        out = [f"{home}/{kind}/{name}" for name in ("out", "error", "audit")]
+        main([kind, spec, f"{home}/raw", *out])
+        assert len(read(out[0])) == written + 1
+
+
+def test_shared_folder_leaves_the_context_alone(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    stage.shared_folder(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
 def test_staged_load_reads_the_raw_text_once(spark, home, monkeypatch):
     """Raw text that changes after staging does not change any output."""
 
