@@ -100,12 +100,16 @@ def _histogram(keyed: DataFrame, probes: list[int]) -> dict[int, tuple]:
 
 def _rows_inside(keyed: DataFrame, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Keys and sizes of the few rows in half-open key ranges, in order."""
-    sent = Broadcasted(keyed.sparkSession, sorted(k for r in ranges for k in r))
+    bounds = sorted(k for r in ranges for k in r)
+    # A range from before the first key has a bound below every row.
+    before = sum(k < 0 for k in bounds)
+    sent = Broadcasted(keyed.sparkSession, [k for k in bounds if k >= 0])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             high, low, _ = _keys(batch)
-            yield batch.filter(pa.array(_below(high, low, sent.value) % 2 == 1))
+            inside = (_below(high, low, sent.value) + before) % 2 == 1
+            yield batch.filter(pa.array(inside))
 
     found = keyed.mapInArrow(pick, keyed.schema).collect()
     return sorted(((r[0] % 2**64) << _LOW | r[1] % 2**64, r[2]) for r in found)
