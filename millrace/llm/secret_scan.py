@@ -45,6 +45,9 @@ ORDINARY = 6
 CANDIDATE = 20
 MARGIN = 0.5
 SMOOTHING = 0.5
+# Weight of what stands behind the pairs: even odds for random strings, as their samples may use
+# few of the characters, and single-character odds for ordinary ones.
+BACKED = 100.0
 _RUN = re.compile("[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE)
 _CELLS = -(-2 * CLASSES * CLASSES // 64) * 64
 
@@ -131,16 +134,21 @@ def _count(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of each next character: random against ordinary.
 
-    Without samples of a kind its model is even.
+    Without random samples their model is even.
     """
     sums = np.frombuffer(b"".join(sum_arrays(_count(docs))) or bytes(8 * _CELLS), np.int64)
     half = CLASSES * CLASSES
     random = sums[:half].reshape(CLASSES, CLASSES).astype(float)
     ordinary = np.maximum(sums[half : 2 * half].reshape(CLASSES, CLASSES) - random, 0)
+    size = CLASSES - 1
     logs = []
-    for counts in (random, ordinary):
-        known = counts[1:, 1:] + SMOOTHING
-        logs.append(np.log(known / known.sum(axis=1, keepdims=True)))
+    for counts, even in ((random, True), (ordinary, False)):
+        known = counts[1:, 1:]
+        single = known.sum(axis=0) + SMOOTHING
+        behind = np.full(size, 1 / size) if even else single / single.sum()
+        logs.append(
+            np.log((known + BACKED * behind) / (known.sum(axis=1, keepdims=True) + BACKED))
+        )
     out = np.zeros((CLASSES, CLASSES))
     out[1:, 1:] = logs[0] - logs[1]
     return out
