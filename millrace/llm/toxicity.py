@@ -178,8 +178,11 @@ def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
         for text in np.unique(owner[a:b]).tolist():
             own = np.flatnonzero(owner[a:b] == text) + a
             if len(own) >= SPELLED:
-                rows.append(text)
-                found.append(data[start[own]].tobytes().decode("utf-8", "replace"))
+                spelled = data[start[own]].tobytes().decode("utf-8", "replace")
+                # A one-letter word may stand beside a spelled one.
+                tries = [spelled, spelled[1:], spelled[:-1]] if len(spelled) > SPELLED else [spelled]
+                rows += [text] * len(tries)
+                found += tries
     return np.array(rows, np.int64), found
 
 
