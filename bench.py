@@ -24,7 +24,8 @@ from millrace.operators.classify import accepted_rows, classify, pinned
 from millrace.operators.integrate import integrate, stamp
 from millrace.operators.metrics import folder_manifest, line_counts
 from millrace.operators.rejects import reject_lines
-from millrace.sinks.files import write_data
+from millrace.sinks.files import delete_folder, write_data
+from millrace.session import job_session
 from millrace.sinks.stage import new_folder
 from millrace.sources.raw import join_fields, read_lines, split_fields
 from millrace.sources.spec import Dimension
@@ -32,6 +33,7 @@ from millrace.sources.spec import Dimension
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 5
+WIDE = 200
 
 
 def drain(table: DataFrame) -> None:
@@ -61,10 +63,32 @@ def prepare(spark: SparkSession) -> str:
         },
     )
     write_spec(spark, f"{home}/spec", spec)
+    # A third of the lines with one key; a tenth of the lines with 200 fields each.
+    fields = F.split("value", r"\|")
+    hot = F.when(F.hash("value") % 3 == 0, F.lit("1")).otherwise(fields[1])
+    fx.main_lines(spark, SF_DIR).filter(F.size(fields) == 5).select(
+        F.concat_ws("|", fields[0], hot, fields[2], fields[3], fields[4]).alias("value")
+    ).repartition(tasks).write.text(f"{home}/hot")
+    number = F.col("l_orderkey").cast("string")
+    fx.table(spark, SF_DIR, "lineitem").filter("l_orderkey % 10 = 0").select(
+        F.concat_ws("|", *[number] * WIDE).alias("value")
+    ).repartition(tasks).write.text(f"{home}/wide")
+    write_spec(spark, f"{home}/wide_spec", wide_spec())
     write_spec(spark, f"{home}/flat_spec", statements.spec_text(home, statements.PROJECT, {}))
     return home
 
 
+def wide_spec() -> str:
+    """200 columns, of which the statement reads six."""
+    kinds = ("IntegerType", "DoubleType", "StringType")
+    query = "select c0, c1, c2, c50 from src where c99 >= 0 and c199 is not null"
+    return "\n".join(
+        [f"MetaData:=c{i}:={kinds[i % 3]}" for i in range(WIDE)]
+        + ["Data:=Sep:=|", "Query:=Temp_Table:=src", f"Query:=Main_Query:={query}"]
+        + ["DATAQUALITY:=BatchId:=B1", "DATAQUALITY:=ActivityId:=A1"]
+    )
+
+
 def write_spec(spark: SparkSession, path: str, spec: str) -> None:
     spark.range(0, 1, 1, 1).select(F.lit(spec).alias("value")).write.text(path)
 
@@ -83,10 +107,24 @@ def headlines(spark: SparkSession, home: str) -> dict[str, Callable[[], None]]:
         joined = integrate(spark, accepted_rows(classified(), spec), spec)
         return stamp(joined, fx.RUN_TIME, fx.LABEL.batch_id)
 
-    def load(preset, spec: str, options: Options) -> None:
+    def skewed_join() -> DataFrame:
+        """A third of all lines share one key, and nothing is broadcast."""
+        session = job_session(spark)
+        for key in ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold"):
+            session.conf.set(f"spark.sql.{key}", "-1")
+        lines = pinned(classify(split_fields(read_lines(session, f"{home}/hot"), "|"), fx.MAIN_SPEC))
+        query = (
+            "select d.brand, count(*) as n from src s join part_dim d on s.pk = d.partkey "
+            "group by d.brand"
+        )
+        spec = replace(fx.MAIN_SPEC, query=query, dimensions=dimensions[:1])
+        return integrate(session, accepted_rows(lines, spec), spec)
+
+    def load(preset, spec: str, options: Options, raw: str = "raw") -> None:
         out = new_folder(spark, "bench-out")
         paths = [f"{out}/{name}" for name in ("data", "error", "audit")]
-        run_load(spark, preset, f"{home}/{spec}", f"{home}/raw", *paths, options=options)
+        run_load(spark, preset, f"{home}/{spec}", f"{home}/{raw}", *paths, options=options)
+        delete_folder(spark, out)
 
     dimensions = (
         Dimension("part_dim", f"{home}/part", registered.PART_SELECT),
@@ -104,6 +142,9 @@ def headlines(spark: SparkSession, home: str) -> dict[str, Callable[[], None]]:
         "full_fact_load": lambda: load(FACT, "spec", Options()),
         "full_fact_load_rescan": lambda: load(FACT, "spec", Options(stage=False)),
         "full_dimension_load": lambda: load(DIMENSION, "flat_spec", Options()),
+        "skewed_join": lambda: drain(skewed_join()),
+        "wide_fact_load": lambda: load(FACT, "wide_spec", Options(), "wide"),
+        "wide_fact_load_rescan": lambda: load(FACT, "wide_spec", Options(stage=False), "wide"),
     }
 
 
@@ -138,6 +179,7 @@ def main() -> None:
             }
         )
     )
+    delete_folder(spark, home)
     spark.stop()
 
 
