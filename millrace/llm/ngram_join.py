@@ -5,9 +5,10 @@ share at least L shingles within prefixes of length ``n - ceil(t*n) + L``, for a
 takes the L that makes its estimated lists and verifications cheapest, so a pair must share the
 smaller of its two L before it is verified.
 
-Documents that share a prefix shingle form candidate components; those are cut into blocks of
-bounded size, and a block's pairs are counted, verified and joined inside one task. No pair is ever
-a row: a block returns a forest of its links.
+Documents that share a prefix shingle form loose components. In blocks of them, which hold prefixes
+only, matches are counted and those that suffice form tight components; in blocks of these, which
+hold texts, candidates are verified. Blocks are of bounded size, and no pair is ever a row: a block
+returns a forest of its groups.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from millrace.llm.shared import (
     key_filter,
     map_groups,
     meetings,
+    small_batches,
     staged,
     sum_arrays,
     text_key,
@@ -40,14 +42,16 @@ from millrace.llm.words import mix, rolling, slices, split_words, window_text
 WIDTH = 4
 PERCENT = 85
 # Cells of the frequency sketch: its size is fixed, and only the order of shingles rests on it.
-SKETCH_CELLS = 1 << 20
+SKETCH_CELLS = 1 << 22
 MOST_SHARED = 16
 VERIFY_COST = 30.0
 # A list estimated to be longer is dealt to several tasks.
 LIST_ROWS = 20_000
 # A block holds at most about so many documents and shingles.
-BLOCK_DOCS = 1024
-BLOCK_SHINGLES = 2_000_000
+BLOCK_DOCS = 4000
+BLOCK_SHINGLES = 4_000_000
+PREFIX_BLOCK_DOCS = 40_000
+PREFIX_BLOCK_SHINGLES = 24_000_000
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
@@ -119,7 +123,7 @@ def _measure(docs: DataFrame, carry: list[str], width: int) -> DataFrame:
                 sets = shingle_sets(texts.slice(a, b - a), width)
                 sizes += [len(s) for s in sets]
                 cells = np.concatenate(sets) % np.uint64(SKETCH_CELLS)
-                sketch += np.bincount(cells.astype(np.int64), minlength=SKETCH_CELLS)
+                np.add.at(sketch, cells.astype(np.int64), 1)
             kept = [batch.column(batch.schema.get_field_index(c)) for c in [*carry, "_tid"]]
             names, kinds = [*carry, "_tid"], [c.type for c in kept]
             none = [pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())]
@@ -176,6 +180,33 @@ def _prefix_rows(texts: DataFrame, rule: Broadcasted, width: int) -> DataFrame:
     return texts.select("_tid", "text").mapInArrow(run, "token long, part int, tid long")
 
 
+def _prefix_sets(texts: DataFrame, rule: Broadcasted, wanted: Broadcasted, width: int) -> DataFrame:
+    """``_tid, n, need, prefix`` of the documents that may be in ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(in_filter(wanted.value, batch.column(0).to_numpy())))
+            column = batch.column(1)
+            for a, b in slices(column):
+                sets = shingle_sets(column.slice(a, b - a), width)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                chosen = [rule.value.prefix(sets[i]) for i in full]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a).take(pa.array(full, pa.int64())),
+                        pa.array([len(sets[i]) for i in full], pa.int64()),
+                        pa.array([c[2] for c in chosen], pa.int32()),
+                        pa.array([c[0].tobytes() for c in chosen], pa.binary()),
+                    ],
+                    names=["_tid", "size", "need", "prefix"],
+                )
+
+    made = texts.select("_tid", "text").mapInArrow(
+        run, "_tid long, size long, need int, prefix binary"
+    )
+    return made.withColumnRenamed("size", "n")
+
+
 def _list_edges(rows: DataFrame) -> DataFrame:
     """Edges from each member of a list to the first; a part's first member goes up as ``up``."""
 
@@ -219,7 +250,7 @@ def _candidate_components(rows: DataFrame) -> DataFrame:
     return found
 
 
-def _counts(members: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+def _counts(members: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
     """How many values every two of the sorted arrays share."""
     m = len(members)
     owner = np.repeat(np.arange(m), [len(x) for x in members])
@@ -238,35 +269,78 @@ def _counts(members: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
     return out
 
 
-def _forest(tids: np.ndarray, sets: list[np.ndarray], rule: PrefixRule) -> list[tuple[int, int]]:
-    """Links of a block as edges to the least member of each linked group."""
+def _labels(edges_of, count: int) -> np.ndarray:
+    """The least member of each node's group; ``edges_of(i)`` gives partners of node i above it."""
+    label = np.arange(count)
+    for i in range(count):
+        met = np.unique(label[edges_of(i, label)])
+        met = met[met != label[i]]
+        if len(met):
+            met = np.append(met, label[i])
+            label[np.isin(label, met)] = met.min()
+    return label
+
+
+def _candidates(tids: np.ndarray, block: pa.Table, percent: int) -> np.ndarray:
+    """Groups of documents that share as many prefix shingles as the smaller need of the two."""
+    prefixes = [np.frombuffer(p, np.uint64) for p in block.column("prefix").to_pylist()]
+    needs = block.column("need").to_numpy()
+    sizes = block.column("n").to_numpy()
+    owner = np.repeat(np.arange(len(tids)), [len(p) for p in prefixes])
+    tokens = np.concatenate(prefixes)
+    order = np.argsort(tokens, kind="stable")
+    owner, tokens = owner[order], tokens[order]
+    bounds = np.append(np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])), len(tokens))
+    many = np.diff(bounds)
+    ends = np.repeat(bounds[1:], many)
+    # Where each document stands in the lists it shares with a later one.
+    shared = np.flatnonzero(np.arange(1, len(tokens) + 1) < ends)
+    by_doc = shared[np.argsort(owner[shared], kind="stable")]
+    first = np.searchsorted(owner[by_doc], np.arange(len(tids) + 1))
+
+    def partners(i: int, label: np.ndarray) -> np.ndarray:
+        at = by_doc[first[i] : first[i + 1]]
+        if not len(at):
+            return at
+        later = np.concatenate([owner[x + 1 : e] for x, e in zip(at, ends[at], strict=True)])
+        other, matches = np.unique(later, return_counts=True)
+        fits = 100 * np.minimum(sizes[i], sizes[other]) >= percent * np.maximum(
+            sizes[i], sizes[other]
+        )
+        return other[fits & (matches >= np.minimum(needs[i], needs[other]))]
+
+    return _labels(partners, len(tids))
+
+
+def _links(sets: list[np.ndarray], rule: PrefixRule) -> np.ndarray:
+    """Groups of verified links among documents whose prefixes match often enough."""
     sizes = np.array([len(s) for s in sets])
     chosen = [rule.prefix(s) for s in sets]
     needs = np.array([c[2] for c in chosen])
     shared = _counts([c[0] for c in chosen])
-    enough = shared >= np.minimum(needs[:, None], needs[None, :])
-    fits = 100 * np.minimum(sizes[:, None], sizes) >= rule.percent * np.maximum(sizes[:, None], sizes)
-    left, right = np.nonzero(np.triu(enough & fits, 1))
-    parent = list(range(len(tids)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    whole = _counts(sets) if len(left) > 4 * len(tids) else None
-    for i, j in zip(left.tolist(), right.tolist(), strict=True):
-        a, b = find(i), find(j)
-        if a == b:
-            continue
+    whole = _counts(sets) if len(sets) > 8 else None
+
+    def partners(i: int, label: np.ndarray) -> np.ndarray:
+        enough = shared[i] >= np.minimum(needs[i], needs)
+        high = np.maximum(sizes[i], sizes)
+        enough &= 100 * np.minimum(sizes[i], sizes) >= rule.percent * high
+        other = np.flatnonzero(enough & (label != label[i]))
+        other = other[other > i]
         if whole is None:
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            both = np.array(
+                [len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in other], int
+            )
         else:
-            both = int(whole[i, j])
-        if 100 * both >= rule.percent * (sizes[i] + sizes[j] - both):
-            parent[max(a, b)] = min(a, b)
-    return [(int(tids[i]), int(tids[find(i)])) for i in range(len(tids)) if find(i) != i]
+            both = whole[i, other].astype(np.int64)
+        return other[100 * both >= rule.percent * (sizes[i] + sizes[other] - both)]
+
+    return _labels(partners, len(sets))
+
+
+def _edges(tids: np.ndarray, label: np.ndarray) -> dict | None:
+    """A group's members and its least id; a block without groups gives nothing."""
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return {"a": tids[moved], "b": tids[label[moved]]} if len(moved) else None
 
 
 def jaccard_components(
@@ -285,6 +359,7 @@ def jaccard_components(
     carried, counts only if a component has no other, and then its component id is null.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     carry = list(dict.fromkeys([id_column, *carry]))
     # Carried columns travel under names of their own.
     inner = docs.select(
@@ -302,31 +377,36 @@ def jaccard_components(
     rule = Broadcasted(spark, PrefixRule(sketch.astype(np.int32), percent))
 
     texts = inner.select("_tid", "text")
-    found = staged(_candidate_components(_prefix_rows(texts, rule, width)), "candidates")
-    wanted = Broadcasted(spark, key_filter(found, "node"))
+    loose = staged(_candidate_components(_prefix_rows(texts, rule, width)), "loose")
+    sizes = rows.groupBy("_tid").agg(F.first("n_shingles").alias("n"))
+
+    def met(found: DataFrame, most_docs: int, most_weight: int) -> DataFrame:
+        # Partners' sizes differ by the threshold at most, so by one such class.
+        step = -math.log(percent / 100 - 0.001)
+        nodes = found.select(F.col("node").alias("_tid"), "component").join(sizes, "_tid")
+        classed = nodes.withColumn("class", F.floor(F.log("n") / step).cast("int"))
+        return meetings(
+            staged(classed, "nodes"), "_tid", "component", "n", most_docs, most_weight
+        ).select("_tid", F.explode("meetings.key").alias("key"))
+
+    prefixes = _prefix_sets(texts, rule, Broadcasted(spark, key_filter(loose, "node")), width)
+    prefixes = prefixes.dropDuplicates(["_tid"]).join(
+        met(loose, PREFIX_BLOCK_DOCS, PREFIX_BLOCK_SHINGLES), "_tid"
+    )
+
+    def match(block: pa.Table) -> dict | None:
+        tids, first = np.unique(block.column("_tid").to_numpy(), return_index=True)
+        return _edges(tids, _candidates(tids, block.take(pa.array(first)), percent))
+
+    tight = staged(components(map_groups(prefixes, "key", match, "a long, b long")), "tight")
+    wanted = Broadcasted(spark, key_filter(tight, "node"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(in_filter(wanted.value, batch.column(0).to_numpy())))
 
-    sizes = rows.groupBy("_tid").agg(F.first("n_shingles").alias("n"))
-    nodes = staged(
-        found.select(F.col("node").alias("_tid"), "component").join(sizes, "_tid"), "nodes"
-    )
     chosen = texts.mapInArrow(pick, texts.schema).groupBy("_tid").agg(F.first("text").alias("text"))
-    # Partners' sizes differ by the threshold at most, so by one such class.
-    step = -math.log(percent / 100 - 0.001)
-    met = meetings(
-        nodes.withColumn("class", F.floor(F.log("n") / step).cast("int")),
-        "_tid",
-        "component",
-        "n",
-        BLOCK_DOCS,
-        BLOCK_SHINGLES,
-    )
-    blocks = chosen.join(met, "_tid").select(
-        F.explode("meetings.key").alias("key"), "_tid", "text"
-    )
+    blocks = chosen.join(met(tight, BLOCK_DOCS, BLOCK_SHINGLES), "_tid")
 
     def link(block: pa.Table) -> dict | None:
         tids, first = np.unique(block.column("_tid").to_numpy(), return_index=True)
@@ -334,8 +414,7 @@ def jaccard_components(
             return None
         text = block.column("text").take(pa.array(first)).combine_chunks()
         text = text if isinstance(text, pa.Array) else pa.concat_arrays(text.chunks)
-        edges = _forest(tids, shingle_sets(text, width), rule.value)
-        return {"a": [e[0] for e in edges], "b": [e[1] for e in edges]} if edges else None
+        return _edges(tids, _links(shingle_sets(text, width), rule.value))
 
     linked = staged(components(map_groups(blocks, "key", link, "a long, b long")), "linked")
 

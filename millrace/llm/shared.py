@@ -53,6 +53,17 @@ def forget_all() -> None:
             return
 
 
+USUAL_BATCH = "10000"
+SMALL_BATCH = "2000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows, if the session has Spark's default: texts make wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == USUAL_BATCH:
+        spark.conf.set(key, SMALL_BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
