@@ -27,6 +27,7 @@ from millrace.llm.shared import (
     in_filter,
     key_filter,
     map_batches,
+    small_batches,
     staged,
 )
 from millrace.llm.words import mix, powers, rolling, slices, split_words
@@ -229,6 +230,7 @@ def remove_repeats(
     gives way to it.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     own = ("n_words", "n_removed", "kept_text", "removed")
     names = [c for c in dict.fromkeys(carry) if c not in own]
     held = [f"_c{i}" for i in range(len(names))]
