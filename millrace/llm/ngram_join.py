@@ -37,7 +37,7 @@ from millrace.llm.shared import (
     sum_arrays,
     text_key,
 )
-from millrace.llm.words import mix, rolling, slices, split_words, window_text
+from millrace.llm.words import mix, rolling, slices, split_words
 
 WIDTH = 4
 PERCENT = 85

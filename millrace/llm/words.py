@@ -156,14 +156,3 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     sums[0] = 0
     np.cumsum(hashes * powers(len(hashes)), out=sums[1:])
     return mix((sums[width:] - sums[:-width]) * powers(n, True))
-
-
-def window_text(counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which run starts lie inside one text, and the text of each word.
-
-    The mask has one entry per run start of the concatenated words.
-    """
-    owner = np.repeat(np.arange(len(counts)), counts)
-    if len(owner) < width:
-        return np.zeros(0, bool), owner
-    return owner[: len(owner) - width + 1] == owner[width - 1 :], owner

@@ -270,10 +270,6 @@ def test_secrets_odd_rows(spark, odd):
     assert len(got) == len(ODD) and not any(r.spans for r in got)
 
 
-def test_toxicity_of_held_out_rows():
-    assert toxicity.THRESHOLD == 0.3
-
-
 def test_toxicity_learns_and_decodes(spark):
     sf_dir = "/root/testdata/sf0.1"
     scored = op8_toxicity(spark, sf_dir).join(
