@@ -32,6 +32,7 @@ from millrace.llm.shared import (
     key_filter,
     map_groups,
     meetings,
+    release,
     small_batches,
     staged,
     sum_arrays,
@@ -143,6 +144,7 @@ def _measure(docs: DataFrame, carry: list[str], width: int) -> DataFrame:
                 ],
                 names=[*names, "n_shingles", "piece", "data"],
             )
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -176,6 +178,7 @@ def _prefix_rows(texts: DataFrame, rule: Broadcasted, width: int) -> DataFrame:
                         ],
                         names=["token", "part", "tid"],
                     )
+        release()
 
     return texts.select("_tid", "text").mapInArrow(run, "token long, part int, tid long")
 
@@ -200,6 +203,7 @@ def _prefix_sets(texts: DataFrame, rule: Broadcasted, wanted: Broadcasted, width
                     ],
                     names=["_tid", "size", "need", "prefix"],
                 )
+        release()
 
     made = texts.select("_tid", "text").mapInArrow(
         run, "_tid long, size long, need int, prefix binary"
