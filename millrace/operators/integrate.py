@@ -39,7 +39,9 @@ def columns_read(spark: SparkSession, spec: JobSpec) -> frozenset[int]:
 
     The source view stands for a table without rows that the optimizer knows nothing about, so an
     unknown column, a syntax error or a missing dimension fails here. A position counts as read if
-    the optimized plan mentions it anywhere above the source.
+    the optimized plan mentions it anywhere above the source. A node of several inputs that is not
+    a join (``UNION``, a recursion) takes their columns by place: its own output names those of the
+    first input alone, and every column of each input counts as mentioned.
     """
     source = spark.createDataFrame(spark.sparkContext.emptyRDD(), spec.schema)
     plan = integrate(spark, source, spec)._jdf.queryExecution().optimizedPlan()
@@ -52,6 +54,10 @@ def columns_read(spark: SparkSession, spec: JobSpec) -> frozenset[int]:
         for inner in (node.children(), node.subqueries()):
             for i in range(inner.size()):
                 walk(inner.apply(i))
+        inputs = node.children()
+        if inputs.size() > 1 and "Join" not in node.nodeName():
+            for i in range(inputs.size()):
+                mentioned.update(ids(inputs.apply(i).output()))
         if node.nodeName() == "LogicalRDD" or "ExistingRDD" in node.nodeName():
             leaves.append(ids(node.output()))
         else:

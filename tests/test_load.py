@@ -446,3 +446,32 @@ def test_staged_load_reads_the_raw_text_once(spark, home, monkeypatch):
     assert not any("spoiled" in line for line in read(result.data_path))
     assert set(read(f"{home}/error")) == LOG
     assert read(f"{home}/audit") == [f"B1,A1,2,{STAMP},{STAMP},7,5,3"]
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "select k, v from dim union all select id, name from src",
+        "select id, name from src union all select k, v from dim",
+        "select k, v from dim union select id, name from src",
+        "select k from dim union all select name from src union all select id from src",
+        "select * from dim union all select * from (select * from dim union all select id, name from src)",
+    ],
+)
+def test_union_branches_are_staged_whole(spark, home, query):
+    spark.createDataFrame([("k1", "v1"), ("1", "ann")], "k string, v string").write.option(
+        "header", True
+    ).csv(f"{home}/dim", sep="|")
+    columns = "MetaData:=id:=StringType\nMetaData:=name:=StringType\n"
+    body = SPEC.format(query=query, sep="|").split("\n", 3)[3]
+    text = columns + body.replace("NonNullable:=name:=2\n", "") + f"FactJoin:=dim:={home}/dim:=k,v\n"
+    spec = put(f"{home}/spec/s.txt", text)
+    raw = os.path.dirname(put(f"{home}/raw/r.txt", "1|ann\n2|bob\n3|cy\n"))
+    got = []
+    for staged in (True, False):
+        paths = [f"{home}/{staged}/{name}" for name in ("out", "error", "audit")]
+        result = run_load(spark, FACT, spec, raw, *paths, Options(stage=staged), lambda: NOW)
+        lines = [line for line in read(result.data_path) if STAMP in line]
+        got.append(sorted(line.split(f"|{STAMP}")[0] for line in lines))
+    assert got[0] == got[1]
+    assert any("bob" in line for line in got[0])
