@@ -2,9 +2,9 @@
 
 Word counts of the whole training part fix the vocabulary, the classes and a smoothed unigram
 inside every class of rarer words. A small GRU, trained in numpy by truncated backpropagation,
-predicts the class and, for frequent words, the word. Tasks train on their own share of the
-documents (one in ``TRAIN_STRIDE``) and their weights are averaged, so what training gathers grows
-with the input. Scoring carries the state over all windows of a whole document.
+predicts the class and, for frequent words, the word. Every training document is trained on once:
+tasks train on their own documents, dealt row by row over ``ROUNDS`` rounds, and after each round
+their weights are averaged. Scoring carries the state over all windows of a whole document.
 """
 
 from __future__ import annotations
@@ -27,14 +27,14 @@ HIDDEN = 24
 WINDOW = 32
 LANES = 64
 SCORE_LANES = 2048
-TRAIN_STRIDE = 16
 ROUNDS = 2
 RATE = 0.01
 # Words looked up in tasks; counts of all others are joined. This bounds what is broadcast.
 MOST_LOOKED_UP = 1 << 20
 END = np.uint64(1)
 END_SHAPE = 0
-_FIXED = float(1 << 20)
+# Weights travel as fixed-point sums over tokens: 64 bits hold them for about 10^13 tokens.
+_FIXED = float(1 << 16)
 
 
 def word_shapes(words) -> np.ndarray:
@@ -231,6 +231,7 @@ class Network:
         outer[valid] = back
         flow = np.zeros_like(state)
         inputs = np.zeros((*ids.shape, 3 * h), np.float32)
+        hiddens = np.zeros((*ids.shape, 3 * h), state.dtype)
         for t in range(len(ids) - 1, -1, -1):
             z, r, n, hidden_n = held[t]
             d = np.where(valid[t][:, None], flow, 0)
@@ -239,17 +240,26 @@ class Network:
             dr = dn * hidden_n * r * (1 - r)
             inputs[t] = np.concatenate([dz, dr, dn], 1)
             hidden = np.concatenate([dz, dr, dn * r], 1)
-            g["again"] += before[t].T @ hidden
+            hiddens[t] = hidden
             flow = d * z + hidden @ p["again"].T + outer[t]
-        np.add.at(g["embed"], ids.ravel(), inputs.reshape(-1, 3 * h))
+        g["again"] += before.reshape(-1, h).T @ hiddens.reshape(-1, 3 * h)
+        named = ids.ravel()
+        order = np.argsort(named, kind="stable")
+        own, begin = np.unique(named[order], return_index=True)
+        g["embed"][own] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begin)
         return g, after, len(flat)
 
 
 def train_on(network: Network, texts: list[np.ndarray]) -> int:
     """Adam over the texts in lanes of similar length; returns the tokens seen."""
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    first = {k: np.zeros_like(v) for k, v in network.p.items()}
-    second = {k: np.zeros_like(v) for k, v in network.p.items()}
+    flat, at = network.flat(), 0
+    # The parameters become views of one vector, which Adam moves as a whole.
+    for k in network.SHAPE:
+        size = network.p[k].size
+        network.p[k] = flat[at : at + size].reshape(network.p[k].shape)
+        at += size
+    first, second = np.zeros_like(flat), np.zeros_like(flat)
     groups = [order[i : i + LANES] for i in range(0, len(order), LANES)]
     step = seen = 0
     for at in np.random.default_rng(1).permutation(len(groups)).tolist():
@@ -262,12 +272,17 @@ def train_on(network: Network, texts: list[np.ndarray]) -> int:
             g, state, n = network.gradient(grid[part, :active], valid[part, :active], state[:active])
             step += 1
             seen += n
-            for k, v in network.p.items():
-                slope = np.clip(g[k] / n * 8, -1, 1)
-                first[k] += 0.1 * (slope - first[k])
-                second[k] += 0.01 * (slope * slope - second[k])
-                scale = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6
-                v -= RATE * (first[k] / (1 - 0.9**step)) / scale
+            slope = np.concatenate([g[k].ravel() for k in network.SHAPE])
+            slope *= 8 / n
+            np.clip(slope, -1, 1, out=slope)
+            first *= 0.9
+            first += 0.1 * slope
+            slope *= slope
+            second *= 0.99
+            second += 0.01 * slope
+            scale = np.sqrt(second / (1 - 0.99**step))
+            scale += 1e-6
+            flat -= (RATE / (1 - 0.9**step)) * first / scale
     return seen
 
 
@@ -307,20 +322,27 @@ def _texts(column: pa.Array, lexicon: Lexicon) -> list[np.ndarray]:
 
 
 def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Network:
-    """Rounds of training in every task and averaging, weighted by tokens."""
+    """Rounds of training in every task and averaging, weighted by tokens.
+
+    A task's rows are dealt to the rounds by their place, so copies of a text are in all of them
+    and each row is trained on in exactly one.
+    """
     spark = docs.sparkSession
     network = first
-    share = docs.filter(F.pmod(F.xxhash64("text"), F.lit(TRAIN_STRIDE)) == 0).select("text")
+    texts = docs.select("text")
     size = len(network.flat()) + 1
     cells = -(-size // 64) * 64
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         sent = Broadcasted(spark, network.flat())
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own, seen = Network.unflat(sent.value), 0
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
+            own, seen, rows = Network.unflat(sent.value), 0, 0
             for batch in batches:
-                if batch.num_rows:
-                    seen += train_on(own, _texts(batch.column(0), lexicon.value))
+                place = np.arange(rows, rows + batch.num_rows)
+                rows += batch.num_rows
+                mine = batch.filter(pa.array(place % ROUNDS == turn))
+                if mine.num_rows:
+                    seen += train_on(own, _texts(mine.column(0), lexicon.value))
             if seen:
                 sums = np.zeros(cells, np.int64)
                 sums[: size - 1] = np.rint(own.flat().astype(np.float64) * seen * _FIXED)
@@ -331,7 +353,7 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
                     names=["piece", "data"],
                 )
 
-        raw = b"".join(sum_arrays(share.mapInArrow(run, "piece int, data binary")))
+        raw = b"".join(sum_arrays(texts.mapInArrow(run, "piece int, data binary")))
         if not raw:
             break
         sums = np.frombuffer(raw, np.int64)

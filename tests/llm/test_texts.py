@@ -127,6 +127,25 @@ def test_lm_gradient_is_the_slope():
         assert slopes[name][place] == pytest.approx(slope, rel=0.02, abs=2e-3)
 
 
+def test_lm_trains_on_every_training_document(spark, monkeypatch, home):
+    train = lm_scoring.train_on
+
+    def spy(network, texts):
+        seen = train(network, texts)
+        with open(f"{home}/seen", "a") as out:
+            out.write(f"{len(texts)} {seen}\n")
+        return seen
+
+    # Tasks take the spy along with the function that they run.
+    monkeypatch.setattr(lm_scoring, "train_on", spy)
+    docs = [(i, "one copied text" if i % 3 else f"own text {i}") for i in range(90)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert lm_scoring.score(table, ["doc_id"], F.col("doc_id") >= 60).count() == 90
+    with open(f"{home}/seen") as lines:
+        seen = [tuple(map(int, line.split())) for line in lines]
+    assert (sum(n for n, _ in seen), sum(n for _, n in seen)) == (60, 240)
+
+
 def test_lm_odd_rows(spark, odd):
     got = lm_scoring.score(odd, odd.columns, F.col("doc_id") == 4).collect()
     assert sorted(r.n_tokens for r in got) == [1, 1, 2, 3, 3, 5, 40_001]
