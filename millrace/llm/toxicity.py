@@ -29,8 +29,6 @@ from millrace.llm.shared import (
 )
 from millrace.llm.words import LOWER, mix, slices, spaced_bytes, split_words
 
-FEATURE_BITS = 19
-FEATURES = 1 << FEATURE_BITS
 PREFIXES = (4, 6)
 # The classifier's weights are fitted on a sample of about so many labelled rows at most.
 FIT_ROWS = 50_000
@@ -186,31 +184,46 @@ def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
     return np.array(rows, np.int64), found
 
 
-def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of words and word beginnings, with the text each is in."""
     words = split_words(texts, lower=True, blank=~LETTER)
     if not len(words.start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     owner = words.text_of_word
-    shift = np.uint64(64 - FEATURE_BITS)
-    owners, out = [owner], [(words.hashes() >> shift).astype(np.int64)]
+    owners, out = [owner], [words.hashes()]
     for size in PREFIXES:
         long = words.end - words.start > size
         owners.append(owner[long])
-        cut = mix(words.hashes(size)[long] ^ np.uint64(size))
-        out.append((cut >> shift).astype(np.int64))
+        out.append(mix(words.hashes(size)[long] ^ np.uint64(size)))
     return np.concatenate(owners), np.concatenate(out)
 
 
 def features(texts: pa.Array, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ``(text, feature)`` pairs of texts and of their restored tokens, in order."""
-    owner, bucket = _buckets(texts)
+    owner, feature = _features(texts)
     rows, tokens = odd_tokens(texts)
     if len(rows):
         restored = pa.array([decoder.decode(t) for t in tokens], pa.large_string())
-        at, more = _buckets(restored)
-        owner, bucket = np.concatenate([owner, rows[at]]), np.concatenate([bucket, more])
-    both = np.unique(owner * FEATURES + bucket)
-    return both // FEATURES, both % FEATURES
+        at, more = _features(restored)
+        owner, feature = np.concatenate([owner, rows[at]]), np.concatenate([feature, more])
+    return _distinct(owner, feature)
+
+
+def _distinct(owner: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((feature, owner))
+    owner, feature = owner[order], feature[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (feature[1:] != feature[:-1])
+    return owner[new], feature[new]
+
+
+def places(keys: np.ndarray, row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those pairs whose feature is one of the sorted ``keys``, as row and place in ``keys``."""
+    if not len(keys):
+        return row[:0], np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, feature), len(keys) - 1)
+    there = keys[at] == feature
+    return row[there], at[there]
 
 
 @dataclass
@@ -218,45 +231,49 @@ class Model:
     """All that scoring needs; its size does not depend on the input."""
 
     characters: np.ndarray
+    keys: np.ndarray
     weights: np.ndarray
     bias: float
     single: np.ndarray
 
     def scores(self, row: np.ndarray, feature: np.ndarray, count: int) -> np.ndarray:
         """The larger of the logistic score and the surest single feature's share."""
-        sums = np.bincount(row, self.weights[feature], minlength=count) + self.bias
+        row, at = places(self.keys, row, feature)
+        sums = np.bincount(row, self.weights[at], minlength=count) + self.bias
         out = 1 / (1 + np.exp(-np.clip(sums, -30, 30)))
-        np.maximum.at(out, row, self.single[feature])
+        np.maximum.at(out, row, self.single[at])
         return out
 
 
-def _feature_counts(train: DataFrame, characters: Broadcasted) -> np.ndarray:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(2 * FEATURES, np.int64)
+def _feature_counts(train: DataFrame, characters: Broadcasted) -> DataFrame:
+    """``feature, clean, toxic``: in how many labelled rows of each kind a feature is."""
+
+    def work(batch):
         decoder = Decoder(characters.value)
-        for batch in batches:
-            toxic = batch.column(0).to_numpy().astype(np.int64)
-            texts = batch.column(1)
-            for a, b in slices(texts):
-                row, feature = features(texts.slice(a, b - a), decoder)
-                sums += np.bincount(toxic[a:b][row] * FEATURES + feature, minlength=2 * FEATURES)
-        made = array_pieces(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(made["piece"], pa.int32()), pa.array(made["data"], pa.binary())],
-            names=["piece", "data"],
-        )
+        marks = batch.column(batch.schema.get_field_index("toxic")).to_numpy().astype(np.int64)
+        texts = batch.column(batch.schema.get_field_index("text"))
+        for a, b in slices(texts):
+            row, feature = features(texts.slice(a, b - a), decoder)
+            names, at = np.unique(feature, return_inverse=True)
+            many = np.bincount(at, minlength=len(names))
+            bad = np.bincount(at, marks[a:b][row], minlength=len(names)).astype(np.int64)
+            yield {"feature": names.view(np.int64), "clean": many - bad, "toxic": bad}
 
-    blobs = train.select("toxic", "text").mapInArrow(run, "piece int, data binary")
-    raw = b"".join(sum_arrays(blobs)) or bytes(16 * FEATURES)
-    return np.frombuffer(raw, np.int64).reshape(2, FEATURES)
+    rows = map_batches(
+        train.select(F.col("toxic"), "text"), work, "feature long, clean long, toxic long"
+    )
+    return rows.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def choose_features(counts: np.ndarray, clean: int, toxic: int) -> np.ndarray:
-    """The features that speak most for toxic texts."""
-    rate = (counts[1] / max(toxic, 1)) / ((counts[0] + 0.5) / (clean + 1))
-    able = np.flatnonzero((counts[1] >= LEAST_TOXIC) & (rate >= LEAST_RATIO))
-    weight = counts[1][able] * np.log(rate[able])
-    return np.sort(able[np.argsort(-weight, kind="stable")[:MOST_CHOSEN]])
+def choose_features(counts: DataFrame, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features that speak most for toxic texts, sorted, and their (clean, toxic) counts."""
+    rate = (F.col("toxic") / max(toxic, 1)) / ((F.col("clean") + 0.5) / (clean + 1))
+    able = counts.filter((F.col("toxic") >= LEAST_TOXIC) & (rate >= LEAST_RATIO))
+    weight = F.col("toxic") * F.log(rate)
+    got = able.orderBy(weight.desc(), "feature").limit(MOST_CHOSEN).collect()
+    keys = np.array([r.feature for r in got], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([(r.clean, r.toxic) for r in got], np.int64).reshape(-1, 2)[order]
 
 
 def fit(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, width: int) -> tuple[np.ndarray, float]:
@@ -306,22 +323,18 @@ def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -
     sent = Broadcasted(spark, characters)
     kinds = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     clean, toxic = kinds.get(0, 0), kinds.get(1, 0)
-    weights = np.zeros(FEATURES, np.float32)
     if not clean or not toxic:
-        return Model(characters, weights, 0.0, weights)
-    counts = _feature_counts(train, sent)
-    chosen = choose_features(counts, clean, toxic)
-    place = np.full(FEATURES, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    places = Broadcasted(spark, place)
+        return Model(characters, np.zeros(0, np.uint64), np.zeros(0), 0.0, np.zeros(0))
+    chosen, counts = choose_features(_feature_counts(train, sent), clean, toxic)
+    keys = Broadcasted(spark, chosen)
 
     def held(batch):
         decoder = Decoder(sent.value)
         texts = batch.column(batch.schema.get_field_index("text"))
         for a, b in slices(texts):
             row, feature = features(texts.slice(a, b - a), decoder)
-            at = places.value[feature]
-            row, at = row[at >= 0], at[at >= 0]
+            row, at = places(keys.value, row, feature)
+            at = at.astype(np.int32)
             bounds = np.searchsorted(row, np.arange(b - a + 1))
             yield {
                 "_rows": slice(a, b),
@@ -335,12 +348,9 @@ def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -
     rows = np.repeat(np.arange(len(got)), [len(c) for c in columns])
     marked = np.array([r["toxic"] for r in got], float)
     flat = np.concatenate([*columns, np.zeros(0, np.int32)])
-    found, bias = fit(rows, flat, marked, len(chosen))
-    weights[chosen] = found
-    single = np.zeros(FEATURES, np.float32)
-    share = counts[1][chosen] / (counts.sum(axis=0)[chosen] + SINGLE_DOUBT)
-    single[chosen] = np.where(share >= SINGLE_SURE, share, 0)
-    return Model(characters, weights, bias, single)
+    weights, bias = fit(rows, flat, marked, len(chosen))
+    share = counts[:, 1] / (counts.sum(axis=1) + SINGLE_DOUBT)
+    return Model(characters, chosen, weights, bias, np.where(share >= SINGLE_SURE, share, 0.0))
 
 
 def score_texts(docs: DataFrame, carry: list[str], model: Model) -> DataFrame:

@@ -319,6 +319,19 @@ def test_disguised_words(spark, odd):
     assert {r.score for r in toxicity.score_texts(odd, ["doc_id"], none).collect()} == {0.5}
 
 
+def test_rare_words_do_not_share_a_sure_feature(spark):
+    docs = [(i, f"plain words {i} idiot" if i % 2 else f"plain words {i}") for i in range(1000)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)], "doc_id long, toxic int")
+    model = toxicity.train_model(table, labels)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    long = [" ".join(f"{n:02}{i:05}".translate(letters) for i in range(40_000)) for n in range(40)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*long, "an idiot"])], "doc_id int, text string")
+    got = toxicity.score_texts(rows, ["doc_id"], model).orderBy("doc_id").collect()
+    assert [r.predicted for r in got] == [0] * 40 + [1]
+    assert got[-1].score >= toxicity.SINGLE_SURE
+
+
 def check_shards(rows, shards, size):
     sums, slots = Counter(), {}
     for r in rows:
