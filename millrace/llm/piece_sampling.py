@@ -1,6 +1,6 @@
 """Distinct sampled segmentations over the piece lattice, by Gumbel top-k.
 
-The lattice of a text falls apart at each word mark, so a text's segmentations are the products of
+The lattice of a text falls apart before each run of word marks, so a text's segmentations are the products of
 its words' ones; word lattices are built once per distinct word of a batch. A search region is a
 set of whole paths with a perturbed value: the first arrival of a Poisson process whose rate is the
 region's probability. The best region is opened first (A*), its best path leaves it, and what is
@@ -56,7 +56,7 @@ class Pieces:
             if model.is_byte(i):
                 byte[int(name[1:-1], 16)] = i
                 text[i] = bytes([int(name[1:-1], 16)])
-            elif not (model.is_control(i) or model.is_unknown(i) or MARK in name[1:]):
+            elif not (model.is_control(i) or model.is_unknown(i) or MARK in name.lstrip(MARK)):
                 text[i] = name.replace(MARK, " ").encode()
                 weight[i] = -math.log(OFFSET - model.get_score(i))
                 node = 0
@@ -79,6 +79,18 @@ class Pieces:
         raw = b"".join([self.text[i] for i in ids])
         return raw[1:].decode("utf-8", "replace") if raw else ""
 
+    def decode_to(self, texts: list[str], ids) -> list[bool]:
+        """Whether each list of piece ids decodes to its text."""
+        table = pa.array(self.text, pa.large_binary())
+        ends = np.cumsum([len(x) for x in ids])
+        flat = table.take(pa.array(np.concatenate([np.asarray(x, np.int64) for x in ids])))
+        at = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset :][np.append(0, ends)]
+        raw = flat.buffers()[2].to_pybytes() if flat.buffers()[2] else b""
+        return [
+            raw[a:b] == (f" {t}".encode("utf-8", "replace") if t else b"")
+            for t, a, b in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)
+        ]
+
 
 @dataclass
 class Lattices:
@@ -269,10 +281,15 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     marked = [" " + t if t else "" for t in texts]
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     chars = chars.astype(np.int64)
-    begin = np.flatnonzero(chars == 32)
-    lengths = np.array([len(t) for t in marked])
-    first = np.searchsorted(begin, np.concatenate([[0], np.cumsum(lengths)]))
-    chars[begin] = ord(MARK)
+    blank = chars == 32
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in marked], dtype=np.int64)])
+    # A run of blanks stays with the word behind it, for pieces of several blanks.
+    begins = blank.copy()
+    begins[1:] &= ~blank[:-1]
+    begins[bounds[:-1][np.diff(bounds) > 0]] = True
+    begin = np.flatnonzero(begins)
+    first = np.searchsorted(begin, bounds)
+    chars[blank] = ord(MARK)
     return chars, np.append(begin, len(chars)), first
 
 
@@ -323,13 +340,13 @@ def sample_segmentations(
 ) -> DataFrame:
     """``carry`` columns and up to ``samples`` distinct segmentations of every whole text.
 
-    Adds ``sample`` (from 0, best first), ``ids``, ``log_probability``, ``perturbed`` (its Gumbel
-    value) and ``inclusion`` (the chance of being drawn before the first one left out). Null and
+    Adds ``sample`` (from 0, best first), ``ids``, ``round_trip`` (whether they decode to the text),
+    ``log_probability``, ``perturbed`` (its Gumbel value) and ``inclusion`` (the chance of being drawn before the first one left out). Null and
     empty texts have one segmentation without pieces. A text with fewer segmentations has fewer
     rows. Equal ids and texts get equal samples. Characters outside the vocabulary become bytes. A
     carried column named like one of ours gives way to it.
     """
-    own = ("sample", "ids", "log_probability", "perturbed", "inclusion")
+    own = ("sample", "ids", "round_trip", "log_probability", "perturbed", "inclusion")
     names = [c for c in dict.fromkeys(carry) if c not in own]
     held = [f"_c{i}" for i in range(len(names))]
     sent = Broadcasted(docs.sparkSession, Pieces.load(model))
@@ -343,12 +360,14 @@ def sample_segmentations(
         texts = batch.column(batch.schema.get_field_index("text"))
         seeds = batch.column(batch.schema.get_field_index("_seed")).to_numpy().view(np.uint64)
         for a, b in slices(texts, SLICE):
-            found = _batch(texts.slice(a, b - a).to_pylist(), seeds[a:b], sent.value, samples)
+            given = texts.slice(a, b - a).to_pylist()
+            found = _batch(given, seeds[a:b], sent.value, samples)
             flat = [(i, *row) for i, own_rows in enumerate(found, a) for row in own_rows]
             at, rank, ids, log_p, perturbed, inclusion = zip(*flat, strict=True)
             yield {
                 "_rows": np.array(at),
                 "sample": rank,
+                "round_trip": sent.value.decode_to([given[i - a] for i in at], ids),
                 "ids": pa.array([np.asarray(x, np.int32) for x in ids], pa.list_(pa.int32())),
                 "log_probability": log_p,
                 "perturbed": perturbed,
@@ -358,7 +377,7 @@ def sample_segmentations(
     made = map_batches(
         rows,
         work,
-        "sample int, ids array<int>, log_probability double, perturbed double, inclusion double",
+        "sample int, ids array<int>, round_trip boolean, log_probability double, perturbed double, inclusion double",
         held,
     )
     return made.select(*[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], *own)

@@ -35,6 +35,8 @@ def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         "sample",
+        "ids",
+        "round_trip",
         F.size("ids").cast("long").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_hash"),
         "log_probability",

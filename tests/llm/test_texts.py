@@ -176,6 +176,23 @@ def test_sampled_segmentations_follow_their_law(pieces):
         assert second[k] / n == pytest.approx(after, abs=0.03)
 
 
+def test_runs_of_blanks_are_pieces(pieces, spark):
+    wide = {t: i for i, t in enumerate(pieces.text) if t.strip(b" ") == b"" and len(t) > 1}
+    assert sorted(map(len, wide)) == list(range(2, 17)) or len(wide) >= 14
+    n = 4000
+    seeds = piece_sampling.mix(np.arange(n).astype(np.uint64))
+    found = piece_sampling._batch(["a   b"] * n, seeds, pieces, 1)
+    p = {tuple(r[0][1]): math.exp(r[0][2]) for r in found}
+    drawn = Counter(tuple(r[0][1]) for r in found)
+    many = {k for k in p if any(i in wide.values() for i in k)}
+    assert many and {pieces.decode(k) for k in p} == {"a   b"}
+    assert sum(drawn[k] for k in many) / n == pytest.approx(sum(p[k] for k in many), abs=0.03)
+    assert sum(p.values()) == pytest.approx(1, abs=0.03)
+    rows = spark.createDataFrame([(1, "  two  and   three "), (2, " "), (3, "x" + " " * 40), (4, "")], "doc_id int, text string")
+    got = piece_sampling.sample_segmentations(rows, ["doc_id", "text"])
+    assert all(r.round_trip and r.decoded == r.text for r in piece_sampling.decode(got).collect())
+
+
 def test_segmentations_round_trip(spark, odd):
     got = piece_sampling.sample_segmentations(odd, ["doc_id", "text"])
     rows = piece_sampling.decode(got, "ids").collect()
