@@ -5,6 +5,7 @@ read as character lattices. Viterbi decoding under a character trigram model, co
 documents, restores the likeliest spelling. Words and word beginnings of text and restored tokens
 are the features of a logistic model: candidates are counted over all labelled training rows, and
 the weights are fitted on about ``FIT_ROWS`` of them at most. One sure word suffices by itself.
+Chosen words are also looked for in neighbouring pieces of text that blanks cut apart.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from millrace.llm.shared import (
     staged,
     sum_arrays,
 )
-from millrace.llm.words import LOWER, mix, slices, spaced_bytes, split_words
+from millrace.llm.words import BLANK, LOWER, mix, powers, slices, spaced_bytes, split_words
 
 PREFIXES = (4, 6)
 # The classifier's weights are fitted on a sample of about so many labelled rows at most.
@@ -74,6 +75,11 @@ SIGN_COST = 0.3
 REPEAT_COST = 1.0
 DOUBLE_COST = 6.0
 BEAM = 48
+# Words cut by blanks: letters of a piece where there are three or more, bytes of a whole word, and
+# by how much the cut reading may be likelier.
+PIECE = 3
+JOINED = 40
+JOIN_DOUBT = 2.0
 
 
 def _trigrams(texts: pa.Array) -> np.ndarray:
@@ -142,15 +148,88 @@ class Decoder:
             states = after
         return max((v + model[a][b][0], t) for (a, b), (v, t) in states.items())[1]
 
+    def split_score(self, letters: str, whole: tuple[int, int] | None = None) -> float:
+        """Log probability of the likeliest words that ``letters`` fall into.
 
-def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
-    """Tokens that may be disguised words, with the text each is in."""
+        With ``whole`` those letters are one of the words.
+        """
+        model = self.model
+        codes = [27 if ord(c) > 127 else int(CLASS[ord(c)]) for c in letters]
+        best = [0.0] + [-1e9] * len(codes)
+        for start in range(len(codes)):
+            a = b = 0
+            score = best[start]
+            for end in range(start + 1, len(codes) + 1):
+                score += model[a][b][codes[end - 1]]
+                a, b = b, codes[end - 1]
+                if whole and end > whole[0] and start < whole[1] and (start, end) != whole:
+                    continue
+                best[end] = max(best[end], score + model[a][b][0])
+        return best[-1]
+
+
+def joined_words(texts: pa.Array, keys: np.ndarray, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
+    """Words of ``keys`` that blanks cut in pieces, with the text each is in.
+
+    Two pieces may be of any length, three and more of at most ``PIECE`` letters, ``JOINED`` bytes
+    in all. Word ends of the character model decide whether the pieces, with the single letters
+    around them, are likely to hold the word.
+    """
+    words = split_words(texts, lower=True, blank=~LETTER)
+    n = len(words.start)
+    if n < 2 or not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    data, owner, size = words.data, words.text_of_word, words.end - words.start
+    values = (data.astype(np.uint64) + np.uint64(1)) * powers(len(data))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    raw = (sums[words.end] - sums[words.start]) * powers(len(data) + 1, True)[words.start]
+    solid = np.concatenate([[0], np.cumsum(~BLANK[data])])
+    near = np.zeros(n, bool)
+    near[:-1] = (owner[1:] == owner[:-1]) & (solid[words.start[1:]] == solid[words.end[:-1]])
+    short = size <= PIECE
+    shift = powers(JOINED + 1)
+    first, last = np.arange(n), np.arange(n)
+    sum_, wide = raw, size
+    rows, found = [], []
+    while True:
+        go = near[last] & (wide <= JOINED)
+        go[go] &= wide[go] + size[last[go] + 1] <= JOINED
+        first, last, sum_, wide = first[go], last[go] + 1, sum_[go], wide[go]
+        if not len(first):
+            break
+        sum_ = sum_ + raw[last] * shift[wide]
+        wide = wide + size[last]
+        names = mix(sum_)
+        for i in places(keys, np.arange(len(names)), names)[0].tolist():
+            a, b = int(first[i]), int(last[i])
+            x, y = a, b
+            while size[a] == 1 and x and near[x - 1] and size[x - 1] == 1 and a - x < JOINED:
+                x -= 1
+            while size[b] == 1 and near[y] and size[y + 1] == 1 and y - b < JOINED:
+                y += 1
+            parts = [words.word(k).decode("utf-8", "replace") for k in range(x, y + 1)]
+            start = sum(map(len, parts[: a - x]))
+            whole = start, start + sum(map(len, parts[a - x : b - x + 1]))
+            run = "".join(parts)
+            if decoder.split_score(run, whole) >= decoder.split_score(run) - JOIN_DOUBT:
+                rows.append(int(owner[a]))
+                found.append("".join(parts[a - x : b - x + 1]))
+        go = short[first] & short[last]
+        first, last, sum_, wide = first[go], last[go], sum_[go], wide[go]
+    at, feature = _features(pa.array(found, pa.large_string()))
+    return np.array(rows, np.int64)[at], feature
+
+
+def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str], list[int]]:
+    """Tokens that may be disguised words, with the text each is in, and which are spelled runs."""
     words = split_words(texts, lower=True)
     if not len(words.start):
-        return np.zeros(0, np.int64), []
+        return np.zeros(0, np.int64), [], []
     data = words.data
     useful = np.flatnonzero(LETTER[data] | LEET_BYTE[data])
     solid = np.flatnonzero(LETTER[data] | DIGIT[data])
+    sound = np.append(solid, len(data))
+    signs = np.append(-1, useful)
     useful, solid = np.append(useful, len(data)), np.append(-1, solid)
     start = useful[np.searchsorted(useful, words.start)]
     last = solid[np.searchsorted(solid, words.end) - 1]
@@ -170,6 +249,17 @@ def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
         data[a:b].tobytes().decode("utf-8", "replace")
         for a, b in zip(start[mixed].tolist(), end[mixed].tolist(), strict=True)
     ]
+    # A sign at a token's edge may be a letter or stand beside the word: both are read.
+    plain = np.clip(sound[np.searchsorted(sound, words.start)], start, end)
+    full = np.maximum(signs[np.searchsorted(signs, words.end) - 1] + 1, start)
+    for a, b, new in ((plain, end, plain > start), (start, full, full > end), (plain, full, (plain > start) & (full > end))):
+        more = np.flatnonzero(new & (letters[b] > letters[a]) & (odd[b] > odd[a]) & (b - a >= 3))
+        rows += owner[more].tolist()
+        found += [
+            data[x:y].tobytes().decode("utf-8", "replace")
+            for x, y in zip(a[more].tolist(), b[more].tolist(), strict=True)
+        ]
+    runs = []
     single = (end - start == 1) & (words.end - words.start <= 3)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.view(np.int8), [0]])))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -179,9 +269,10 @@ def odd_tokens(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
                 spelled = data[start[own]].tobytes().decode("utf-8", "replace")
                 # A one-letter word may stand beside a spelled one.
                 tries = [spelled, spelled[1:], spelled[:-1]] if len(spelled) > SPELLED else [spelled]
+                runs.append(len(found))
                 rows += [text] * len(tries)
                 found += tries
-    return np.array(rows, np.int64), found
+    return np.array(rows, np.int64), found, runs
 
 
 def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -198,14 +289,27 @@ def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(out)
 
 
-def features(texts: pa.Array, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(text, feature)`` pairs of texts and of their restored tokens, in order."""
+def features(
+    texts: pa.Array, decoder: Decoder, keys: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``(text, feature)`` pairs of texts and of their restored tokens, in order.
+
+    With ``keys`` also those of them that blanks cut in pieces.
+    """
     owner, feature = _features(texts)
-    rows, tokens = odd_tokens(texts)
+    rows, tokens, runs = odd_tokens(texts)
     if len(rows):
-        restored = pa.array([decoder.decode(t) for t in tokens], pa.large_string())
-        at, more = _features(restored)
+        spelled = [decoder.decode(t) for t in tokens]
+        at, more = _features(pa.array(spelled, pa.large_string()))
         owner, feature = np.concatenate([owner, rows[at]]), np.concatenate([feature, more])
+    if keys is not None:
+        at, more = joined_words(texts, keys, decoder)
+        owner, feature = np.concatenate([owner, at]), np.concatenate([feature, more])
+        if runs:
+            apart = pa.array([" ".join(spelled[i]) for i in runs], pa.large_string())
+            at, more = joined_words(apart, keys, decoder)
+            owner = np.concatenate([owner, rows[runs][at]])
+            feature = np.concatenate([feature, more])
     return _distinct(owner, feature)
 
 
@@ -332,7 +436,7 @@ def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -
         decoder = Decoder(sent.value)
         texts = batch.column(batch.schema.get_field_index("text"))
         for a, b in slices(texts):
-            row, feature = features(texts.slice(a, b - a), decoder)
+            row, feature = features(texts.slice(a, b - a), decoder, keys.value)
             row, at = places(keys.value, row, feature)
             at = at.astype(np.int32)
             bounds = np.searchsorted(row, np.arange(b - a + 1))
@@ -367,7 +471,7 @@ def score_texts(docs: DataFrame, carry: list[str], model: Model) -> DataFrame:
         decoder = Decoder(sent.value.characters)
         texts = batch.column(batch.schema.get_field_index("text"))
         for a, b in slices(texts):
-            row, feature = features(texts.slice(a, b - a), decoder)
+            row, feature = features(texts.slice(a, b - a), decoder, sent.value.keys)
             score = sent.value.scores(row, feature, b - a)
             yield {
                 "_rows": slice(a, b),

@@ -336,6 +336,20 @@ def test_disguised_words(spark, odd):
     assert {r.score for r in toxicity.score_texts(odd, ["doc_id"], none).collect()} == {0.5}
 
 
+def test_words_behind_signs_and_blanks(spark):
+    bad = ["idiot", "stupid", "shit", "clown"]
+    good = ["you are a good text about classic plain words", "it is his spot", "you own a closed shop"]
+    docs = [(i, f"{good[i % 3]} {bad[i // 2 % 4]}" if i % 2 else good[i % 3]) for i in range(1200)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1200)], "doc_id long, toxic int")
+    model = toxicity.train_model(table, labels)
+    asked = ["a sh1+ text", "(1d10t)", "y o u i d i o t", "i d i o t  y o u", "an id iot", "st up id", "y o u 1 d i 0 t"]
+    fine = ["y o u a r e", "it is his", "a good text!", "c l a s s i c"]
+    rows = spark.createDataFrame(list(enumerate(asked + fine)), "doc_id int, text string")
+    got = toxicity.score_texts(rows, ["doc_id"], model).orderBy("doc_id").collect()
+    assert [r.predicted for r in got] == [1] * len(asked) + [0] * len(fine)
+
+
 def test_rare_words_do_not_share_a_sure_feature(spark):
     docs = [(i, f"plain words {i} idiot" if i % 2 else f"plain words {i}") for i in range(1000)]
     table = spark.createDataFrame(docs, "doc_id long, text string")
