@@ -1,9 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of all documents.
+"""Substring dedup by chunks cut at anchors, in place of greedy relative Lempel-Ziv factors.
 
 Every window of ``window`` words names one anchor: its least hash among short runs of words. Equal
 windows name equal anchors at equal places, so the anchors, about one in fourteen words, index all
 reference text; the hash partitions of that index are its blocks. Consecutive windows with one
-anchor form a factor: the words they cover. A document is parsed greedily into such factors.
+anchor form a factor: the words they cover. Cuts depend on a document's own words alone: no longest match
+is taken or extended.
 
 A factor whose words occur a second time is a duplicate as a whole. A factor that shares only its
 anchor with other text lies at a boundary of a copied passage; its windows, and those of one copy
