@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     graph_search,
+    importance,
+    lexical_search,
     lm_scoring,
     ngram_join,
     packing,
+    personal_data,
     piece_sampling,
     secret_scan,
     sharding,
@@ -126,6 +129,33 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``, a tenth drawn by likeness to all ``benchmark`` texts."""
+    target = table(spark, sf_dir, "benchmark")
+    return importance.resample(table(spark, sf_dir, "documents"), target)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all ``documents`` for each ``benchmark`` item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all of ``documents``: base patterns and what scores add to them."""
+    found = personal_data.find_personal(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal_data.BASE))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in personal_data.BASE],
+        F.sha2(personal_data.joined(base), 256).alias("base_sha256"),
+        personal_data.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -143,6 +173,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_vector_dedup": op9_vector_dedup,
         "pipeline": pipeline,
         "op10_histogram_sort": op10_histogram_sort,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_personal_data": op13_personal_data,
     }
 
 
@@ -203,10 +236,79 @@ left join (select x as vec_id, count(*) as n from links group by x) using (vec_i
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# A checksum byte by byte: the table of 256 remainders is derived from the polynomial.
+OP11_SQL = rf"""
+with remainders as (
+    select list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i:
+        case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+source as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+target as (
+    select unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as f from benchmark),
+runs as (select r, unnest(w) as f from source),
+features as (select distinct f from runs union select distinct f from target),
+bytes as (
+    select f, list_transform(range(1, length(hex(encode(f))), 2),
+        lambda p: cast('0x' || substr(hex(encode(f)), p, 2) as bigint)) as b from features),
+buckets as (
+    select f, xor(list_reduce(list_prepend(4294967295, b),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as k
+    from bytes, remainders),
+s as (select k, count(*) as n from runs join buckets using (f) group by k),
+t as (select k, count(*) as n from target join buckets using (f) group by k),
+gains as (
+    select k, cast(floor(1000 * ln((coalesce(t.n, 0) + 1) * ((select count(*) from runs) + 10000)
+        / ((coalesce(s.n, 0) + 1) * ((select count(*) from target) + 10000)))) as bigint) as g
+    from (select unnest(range(10000)) as k) left join s using (k) left join t using (k)),
+weights as (
+    select r, cast(sum(g) as bigint) as weight from runs join buckets using (f) join gains using (k) group by r),
+scored as (
+    select r, doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:'
+            || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) + 0.5::double) / 4294967296)))
+            as bigint) as score
+    from source left join weights using (r)),
+drawn as (
+    select r, row_number() over (order by score desc, doc_id, r) as rank from scored where n_features >= 20
+    qualify rank <= 10 * count(*) over () // 100)
+select doc_id, n_features, weight, score, rank from scored left join drawn using (r)
+"""
+
+OP12_SQL = rf"""
+with terms as (
+    select r, doc_id, unnest(w) as t, len(w) as n from (
+        select row_number() over () as r, doc_id, regexp_extract_all({_LOWER},
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents)),
+counts as (select r, doc_id, t, any_value(n) as n, count(*) as tf from terms group by r, doc_id, t),
+total as (select count(distinct r) as n_docs, count(*) as n_terms from terms),
+held as (select t, count(*) as df from counts group by t),
+asked as (
+    select i, item_id, t, count(*) as times from (
+        select i, item_id, unnest(regexp_extract_all({_LOWER},
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t
+        from (select row_number() over () as i, item_id, text from benchmark)) group by i, item_id, t),
+paid as (
+    select i, item_id, t, times * cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as pay
+    from asked join held using (t), total),
+scores as (
+    select i, item_id, r, doc_id, cast(sum(pay * ((1000000000 * tf)
+        // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) as bigint) as score
+    from paid join counts using (t), total group by i, item_id, r, doc_id)
+select item_id, cast(row_number() over (partition by i order by score desc, doc_id, r) as integer) as rank,
+    doc_id, score
+from scores where score > 0 qualify rank <= 20
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
     """The SQL of those queries that SQL can state; tests hold the others against brute force."""
     return {
         "op3_lz_substrings": OP3_SQL,
         "op6_ngram_join": OP6_SQL,
         "op9_vector_dedup": OP9_SQL,
+        "op11_importance_resampling": OP11_SQL,
+        "op12_lexical_search": OP12_SQL,
     }
