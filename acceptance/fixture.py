@@ -62,7 +62,7 @@ def _line_number_is(number: int) -> Column:
     return F.col("l_linenumber") == number
 
 
-def main_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def main_lines(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
     """Lineitem as damaged lines of five fields: the main fixture."""
     supplier = (
         F.when(_line_number_is(3), "12.7").when(_line_number_is(4), "").otherwise(text("l_suppkey"))
@@ -72,7 +72,8 @@ def main_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws(
             "|", text("l_orderkey"), text("l_partkey"), supplier, flag, status
-        ).alias("value")
+        ).alias("value"),
+        *carry,
     )
 
 

@@ -166,6 +166,59 @@ MANIFEST = " union all ".join(
 )
 
 
+FIRST_LOAD, SECOND_LOAD = "'2024-01-01 00:00:00'", "'2024-02-01 00:00:00'"
+
+
+def _history_row(source: str, load: str, batch: str, changed: str) -> str:
+    """A row opened by ``load``; where ``changed``, the second load has closed it."""
+    return f"""
+select {source}.custkey, {source}.segment, {source}.orders, {source}.name, {load} as lets_ld_dt,
+    case when {changed} then {SECOND_LOAD} else '' end as lets_ld_upd_dt, '{batch}' as lets_ld_bch_id,
+    case when {changed} then 'B2' else '' end as "lets_ld_upd_ bch_id", {load} as lets_eff_strt_dt,
+    case when {changed} then {SECOND_LOAD} else '' end as lets_eff_end_dt,
+    case when {changed} then 'N' else 'Y' end as lets_atv_flg"""
+
+
+CHANGED = "b2.custkey is not null and b1.segment is distinct from b2.segment"
+HISTORY = f"""
+with rows as (
+    select cast(c_custkey as integer) as custkey, c_nationkey as nation, c_mktsegment as segment, c_name as name,
+        count(o_orderkey) as every, count(o_orderkey) filter (where o_orderstatus = 'O') as open
+    from customer left join orders on c_custkey = o_custkey group by all),
+b1 as (select custkey, case when nation = 5 then null else segment end as segment,
+    cast(open as integer) as orders, name from rows where segment <> 'MACHINERY'),
+b2 as (select custkey, case when nation in (5, 6) then null when nation = 9 then 'ZED'
+        when nation < 4 then 'NEW' else segment end as segment,
+    cast(every + case when nation = 9 then 1000 else 0 end as integer) as orders, name
+    from rows where nation <> 3)
+{_history_row("b1", FIRST_LOAD, "B1", CHANGED)} from b1 left join b2 using (custkey)
+union all
+{_history_row("b2", SECOND_LOAD, "B2", "false")} from b2 left join b1 using (custkey)
+where b1.custkey is null or b1.segment is distinct from b2.segment
+"""
+
+
+def _kept(order: str) -> str:
+    """The accepted main lines with their place, one of each order."""
+    places = MAIN_LINES.replace("as value", "as value, l_orderkey, l_linenumber")
+    return f"""
+select ok, pk, sk * 100 as sk100, rf, concat(rf, '-', ls) as flags from (
+    select cast(f[1] as integer) as ok, cast(f[2] as integer) as pk, cast(f[3] as integer) as sk,
+        f[4] as rf, f[5] as ls from (
+        select f, value, l_orderkey, l_linenumber from checked join (
+            select distinct value, l_orderkey, l_linenumber from ({places}) p) using (value)
+        where status = 'ok'
+        qualify row_number() over (partition by l_orderkey order by {order}) = 1) o) src
+"""
+
+
+MARKED_REJECTS = f"""
+select * from ({REJECT % ("f[1]", ARITY_TEXT)} from marks where status = 'arity'
+union all {REJECT % ("f[1]", "reason")} from marks where status = 'convert'
+union all {REJECT % (MARK_KEY, MARK_TEXT)} from marks where marked) r, (select 'SAP' as lets_src_sys_nm) s
+"""
+
+
 def _texts(names: list[str], source: str) -> str:
     columns = ", ".join(f"cast({name} as varchar) as {name}" for name in names)
     return f"select {columns}, {READ_STAMPS} from ({source}) t"
@@ -245,6 +298,27 @@ def oracle_statements() -> dict[str, str]:
         + _texts(["ok", "pk", "sk100", "rf", "flags"], statements.PROJECT),
         "dimension_load_errors": MARKER + LOG,
     }
+    columns = ["ok", "pk", "sk100", "rf", "flags"]
+    broken = f"select case when contains(value, '|1,2.7|') then '\"a, \\' else '' end || value as value from ({MARKER_LINES}) m"
+    statements_by_name |= {
+        "scd2_merge": HISTORY,
+        "keep_one": FACT + _texts(columns, _kept("l_linenumber desc, value")),
+        "keep_one_last": MAIN + _texts(columns, _kept("l_linenumber, value desc")),
+        "source_column": FACT
+        + _texts(
+            ["system", "n", "spk"],
+            "select case length(value) % 3 when 0 then 'SAP' when 1 then 'CRM' end as system, "
+            "count(*) as n, cast(sum(cast(f[2] as bigint)) as bigint) as spk "
+            "from checked where status = 'ok' group by all",
+        ),
+        "reject_csv": _classified(broken, required=False) + MARKED_REJECTS,
+        "ordered_sink": FACT + "select pk, ok, sk, ls, true as in_order from src",
+        "dimension_fanout": "select 'part_dim' as dimension, "
+        "'{\"brand\":\"' || p_brand || '\",\"kind\":\"' || upper(p_type) || '\"}' as key, "
+        "cast(count(*) as varchar) as rows from part group by p_brand, upper(p_type) having count(*) > 1 "
+        "union all select 'supplier_dim', '{\"nation\":' || cast(s_nationkey as varchar) || '}', "
+        "cast(count(*) as varchar) from supplier group by s_nationkey having count(*) > 1",
+    }
     for name, sql in statements.ACCEPTANCE.items():
         statements_by_name[name] = MAIN + sql
     return statements_by_name

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acceptance import fixture as fx
@@ -14,12 +15,25 @@ from millrace.functions.convert import resolve_type_column
 from millrace.operators import classify as checks
 from millrace.operators import metrics, rejects
 from millrace.operators.integrate import integrate, stamp
+from millrace.operators.origin import SOURCE_SYSTEM
+from millrace.plans.history import read_history
 from millrace.plans.load import DIMENSION, FACT, LoadResult, Options, Preset, run_load
 from millrace.plans.manifest import run_manifest
-from millrace.sinks.files import dated_path, dated_timed_path, write_data, write_log
+from millrace.sinks.files import (
+    dated_path,
+    dated_timed_path,
+    read_rejects,
+    write_data,
+    write_log,
+)
 from acceptance.scratch import new_folder
 from millrace.sources.dimension import project_dimension, read_dimension
-from millrace.sources.raw import join_fields, read_lines, split_fields
+from millrace.sources.raw import (
+    join_fields,
+    read_lines,
+    read_lines_with_origin,
+    split_fields,
+)
 from millrace.sources.spec import lookup_setting, section_entries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,8 +251,12 @@ def _load(
     options: Options = Options(),
     raw: str | None = None,
     separator: str = "|",
+    query: str = statements.PROJECT,
 ) -> LoadResult:
-    """Write raw lines, spec and dimension files, run a whole load over them."""
+    """Write raw lines, spec and dimension files, run a whole load over them.
+
+    ``query`` is the statement of a load without dimensions.
+    """
     home = new_folder(spark, "load")
     if lines is not None:
         lines.write.text(f"{home}/raw")
@@ -248,7 +266,7 @@ def _load(
     write_data(supplier, f"{home}/supplier", "|")
     spec = statements.spec_text(
         home,
-        statements.FACT_JOIN if dims else statements.PROJECT,
+        statements.FACT_JOIN if dims else query,
         {"part_dim": ("part", PART_SELECT), "supplier_dim": ("supplier", SUPPLIER_SELECT)}
         if dims
         else {},
@@ -322,6 +340,141 @@ def dimension_load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, result.error_path).withColumnRenamed("value", "line")
 
 
+def _customer_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of the customers: some only in one, some changed, some delivered twice."""
+    orders = fx.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("every"), F.count_if(F.col("o_orderstatus") == "O").alias("open")
+    )
+    rows = fx.table(spark, sf_dir, "customer").join(
+        orders, F.col("c_custkey") == F.col("o_custkey"), "left"
+    )
+    nation, segment = F.col("c_nationkey"), F.col("c_mktsegment")
+
+    def lines(table: DataFrame, kind, count) -> DataFrame:
+        texts = fx.text("c_custkey"), kind, F.coalesce(count, F.lit(0)).cast("string"), F.col("c_name")
+        return table.select(F.concat_ws("|", *texts).alias("value"))
+
+    first = lines(
+        rows.filter(segment != "MACHINERY"),
+        F.when(nation == 5, "NONE").otherwise(segment),
+        F.col("open"),
+    )
+    here = rows.filter(nation != 3)
+    kind = F.when(nation.isin(5, 6), "NONE").when(nation < 4, "NEW").otherwise(segment)
+    again = lines(here.filter(nation == 9), F.lit("ZED"), F.coalesce("every", F.lit(0)) + 1000)
+    return first, lines(here, kind, F.col("every")).union(again)
+
+
+def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history after two loads of the customers; of two deliveries the larger count wins."""
+    home = new_folder(spark, "history")
+    for n, lines in enumerate(_customer_lines(spark, sf_dir), 1):
+        lines.write.text(f"{home}/raw{n}")
+        spec = statements.history_spec(f"B{n}")
+        spark.range(0, 1, 1, 1).select(F.lit(spec).alias("value")).write.text(f"{home}/spec{n}")
+        run_load(
+            spark,
+            FACT,
+            f"{home}/spec{n}",
+            f"{home}/raw{n}",
+            f"{home}/out",
+            f"{home}/error{n}",
+            f"{home}/audit{n}",
+            Options(history=True),
+            lambda n=n: fx.RUN_MOMENT.replace(month=n),
+        )
+    return read_history(spark, f"{home}/out")
+
+
+def _written_in_order(spark: SparkSession, sf_dir: str) -> str:
+    """Main lines in files whose names and lines stand in the order of the orders."""
+    folder = new_folder(spark, "sorted")
+    lines = fx.main_lines(spark, sf_dir, "l_orderkey", "l_linenumber")
+    ordered = lines.orderBy("l_orderkey", F.desc("l_linenumber"), "value")
+    ordered.select("value").write.text(folder)
+    return folder
+
+
+def keep_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that keeps the first accepted line of each order."""
+    folder = _written_in_order(spark, sf_dir)
+    result = _load(spark, sf_dir, FACT, None, False, Options(keep="first"), folder)
+    return read_dimension(spark, result.data_path)
+
+
+def keep_one_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last accepted line of each order, from the raw text read twice."""
+    folder = _written_in_order(spark, sf_dir)
+    result = _load(spark, sf_dir, DIMENSION, None, False, Options(keep="last", stage=False), folder)
+    return read_dimension(spark, result.data_path)
+
+
+def source_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load over two folders, one in the other, and a third that no system claims."""
+    home = new_folder(spark, "systems")
+    lines = fx.main_lines(spark, sf_dir)
+    size = F.length("value") % 3
+    for n, folder in enumerate(("in", "in/late", "other")):
+        lines.filter(size == n).write.text(f"{home}/{folder}")
+    result = _load(
+        spark,
+        sf_dir,
+        FACT,
+        None,
+        False,
+        Options(systems={f"{home}/in": "SAP", f"{home}/in/late/": "CRM"}),
+        f"{home}/in,{home}/in/late,{home}/other",
+        query="select lets_src_sys_nm as system, count(*) as n, sum(cast(pk as bigint)) as spk "
+        "from src group by lets_src_sys_nm",
+    )
+    return read_dimension(spark, result.data_path)
+
+
+def reject_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects of a load as CSV with their own columns."""
+    lines = fx.marker_lines(spark, sf_dir).select(
+        F.concat(F.when(F.col("value").contains("|1,2.7|"), '"a, \\').otherwise(""), "value").alias("value")
+    )
+    folder = new_folder(spark, "rejects")
+    _load(spark, sf_dir, FACT, lines, False, Options(reject_table=folder, systems="SAP"))
+    return read_rejects(spark, folder, [*rejects.REJECT_COLUMNS, SOURCE_SYSTEM])
+
+
+def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered result in four files, and whether each row stands after all those before it."""
+    lines = fx.main_lines(spark, sf_dir)
+    query = "select pk, ok, sk, ls from src order by pk desc, ok, sk, ls"
+    result = _load(spark, sf_dir, FACT, lines, False, Options(data_files=4), query=query)
+    found = read_lines_with_origin(spark, result.data_path).filter("value not like 'pk|%'")
+    part = F.split("value", "[|]")
+    rows = found.select(
+        F.get(part, F.lit(0)).cast("int").alias("pk"),
+        F.get(part, F.lit(1)).cast("int").alias("ok"),
+        F.get(part, F.lit(2)).cast("int").alias("sk"),
+        F.get(part, F.lit(3)).alias("ls"),
+        "origin.file",
+        "origin",
+    )
+    key = F.struct(-F.col("pk"), "ok", "sk", "ls")
+    before = F.lag(key).over(W.partitionBy("file").orderBy("origin"))
+    # Four files, so four rows.
+    ends = rows.groupBy("file").agg(F.max(key).alias("last"))
+    earlier = ends.select("file", F.lag("last").over(W.orderBy("file")).alias("ended"))
+    placed = rows.withColumn("before", before).join(F.broadcast(earlier), "file")
+    follows = F.coalesce(key >= F.col("before"), F.lit(True)) & F.coalesce(key >= F.col("ended"), F.lit(True))
+    return placed.select("pk", "ok", "sk", "ls", follows.alias("in_order"))
+
+
+def dimension_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The doubled keys of a load's two dimensions, by columns that are no keys of them."""
+    folder = new_folder(spark, "doubled")
+    options = Options(
+        dimension_keys={"part_dim": ("brand", "kind"), "supplier_dim": ("nation",)}, doubled_keys=folder
+    )
+    _load(spark, sf_dir, FACT, fx.main_lines(spark, sf_dir), True, options)
+    return read_rejects(spark, folder, ("dimension", "key", "rows"))
+
+
 def registered() -> dict[str, Query]:
     operators = [
         raw_scan,
@@ -360,6 +513,13 @@ def registered() -> dict[str, Query]:
         fact_load_errors,
         dimension_load,
         dimension_load_errors,
+        scd2_merge,
+        keep_one,
+        keep_one_last,
+        source_column,
+        reject_csv,
+        ordered_sink,
+        dimension_fanout,
     ]
     queries = {query.__name__: query for query in operators}
     queries["fact_join"] = fact_join

@@ -72,3 +72,23 @@ def spec_text(home: str, query: str, dims: dict[str, tuple[str, str]]) -> str:
     for name, (folder, select_list) in dims.items():
         lines.append(f"FactJoin:={name}:={home}/{folder}:={select_list}")
     return "\n".join(lines)
+
+
+def history_spec(batch_id: str) -> str:
+    """A spec whose result goes into a history of customers."""
+    return "\n".join(
+        [
+            "MetaData:=custkey:=IntegerType",
+            "MetaData:=segment:=StringType",
+            "MetaData:=orders:=IntegerType",
+            "MetaData:=name:=StringType",
+            "Data:=Sep:=|",
+            "Query:=Temp_Table:=src",
+            "Query:=Main_Query:=select custkey, nullif(segment, 'NONE') as segment, orders, name from src",
+            f"DATAQUALITY:=BatchId:={batch_id}",
+            "DATAQUALITY:=ActivityId:=A1",
+            "SCD:=JoinID:=custkey",
+            "SCD:=Columns:=segment",
+            "SCD:=Order:=orders",
+        ]
+    )

@@ -20,6 +20,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         load.add_argument("--log-required", action="store_true")
         load.add_argument("--match", choices=("exact", "contains"), default="exact")
         load.add_argument("--rescan", action="store_true")
+        load.add_argument("--keep", choices=("first", "last"))
+        load.add_argument("--system", action="append", default=[], metavar="NAME or FOLDER=NAME")
+        load.add_argument("--reject-table")
+        load.add_argument("--history", action="store_true")
+        load.add_argument("--close-missing", action="store_true")
+        load.add_argument("--dimension-key", action="append", metavar="DIMENSION=COLUMN,COLUMN")
+        load.add_argument("--doubled-keys")
     manifest = runs.add_parser("manifest")
     manifest.add_argument("output")
     manifest.add_argument("folders", nargs="+", metavar="NAME=FOLDER")
@@ -34,6 +41,23 @@ def named_folders(texts: list[str]) -> list[tuple[str, str]]:
     return [tuple(text.split("=", 1)) for text in texts]
 
 
+def source_systems(texts: list[str]) -> str | dict[str, str] | None:
+    """One name for all rows, or a name for each folder."""
+    if len(texts) == 1 and "=" not in texts[0]:
+        return texts[0]
+    if not all("=" in text for text in texts):
+        raise SystemExit(f"source systems are one NAME, or FOLDER=NAME each, not {texts}")
+    return dict(text.rsplit("=", 1) for text in texts) or None
+
+
+def dimension_keys(texts: list[str] | None) -> dict[str, list[str]] | None:
+    """``DIMENSION=COLUMN,COLUMN`` arguments; without columns the first one counts."""
+    if texts is None:
+        return None
+    pairs = [text.partition("=") for text in texts]
+    return {name: [c.strip() for c in keys.split(",") if c.strip()] for name, _, keys in pairs}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     folders = named_folders(args.folders) if args.run == "manifest" else []
@@ -48,6 +72,13 @@ def main(argv: list[str] | None = None) -> None:
         log_required=args.log_required,
         match=args.match,
         stage=not args.rescan,
+        keep=args.keep,
+        systems=source_systems(args.system),
+        reject_table=args.reject_table,
+        history=args.history,
+        close_missing=args.close_missing,
+        dimension_keys=dimension_keys(args.dimension_key),
+        doubled_keys=args.doubled_keys,
     )
     preset = FACT if args.run == "fact" else DIMENSION
     result = run_load(

@@ -6,7 +6,7 @@ all come from the same pass.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +70,12 @@ def empty_key_rows(fields: DataFrame, arity: int) -> DataFrame:
     return fields.filter(arity_is(arity) & (field_at(0) == ""))
 
 
-def _with_values(fields: DataFrame, spec: JobSpec) -> DataFrame:
+def _with_values(fields: DataFrame, spec: JobSpec, carry: Sequence[str]) -> DataFrame:
     values = [
         f"{typed_value(f'get({FIELDS}, {i})', column.dataType)} as {value_name(i)}"
         for i, column in enumerate(spec.schema)
     ]
-    return fields.selectExpr(FIELDS, *values)
+    return fields.selectExpr(FIELDS, *values, *carry)
 
 
 def _first_failure(spec: JobSpec) -> Column:
@@ -127,9 +127,11 @@ def pinned(rows: DataFrame) -> DataFrame:
     return rows.select(F.expr(f"inline(array(struct({columns})))"))
 
 
-def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
+def classify(fields: DataFrame, spec: JobSpec, carry: Sequence[str] = ()) -> DataFrame:
     """Per line: ``status, marked, record_key, message`` and one typed column per field.
 
+    Columns of ``fields`` in ``carry`` go along as they are.
+
     Typed columns only mean something in accepted rows. ``record_key`` and ``message`` are filled
     for rows a log may mention: the first field and the conversion message of a rejected line,
     or, for an accepted row that holds the marker word, the first and last comma-separated
@@ -138,7 +140,7 @@ def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
     missing = any_of([is_missing(position) for position in spec.required])
     values = [value_name(i) for i in range(spec.arity)]
     failed_at = _first_failure(spec)
-    checked = _with_values(fields, spec).select(
+    checked = _with_values(fields, spec, carry).select(
         FIELDS,
         F.when(~arity_is(spec.arity), ARITY)
         .when(missing, REQUIRED)
@@ -147,6 +149,7 @@ def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
         .alias(STATUS),
         failed_at.alias("failed_at"),
         *values,
+        *carry,
     )
     accepted = F.col(STATUS) == OK
     marked = accepted & _has_marker(spec)
@@ -161,13 +164,17 @@ def classify(fields: DataFrame, spec: JobSpec) -> DataFrame:
         .when(marked, F.substring_index(text, ",", -1))
         .alias(MESSAGE),
         *values,
+        *carry,
     )
 
 
 def accepted_rows(
-    classified: DataFrame, spec: JobSpec, read: Collection[int] | None = None
+    classified: DataFrame,
+    spec: JobSpec,
+    read: Collection[int] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The declared table: accepted rows, declared names and types.
+    """The declared table: accepted rows, declared names and types, then columns in ``carry``.
 
     ``read`` are the positions that ``classified`` still has; the others come as nulls.
     """
@@ -176,14 +183,16 @@ def accepted_rows(
         there = read is None or i in read
         value = F.col(value_name(i)) if there else F.lit(None).cast(spec.schema[i].dataType)
         columns.append(value.alias(name))
-    return classified.filter(F.col(STATUS) == OK).select(*columns)
+    return classified.filter(F.col(STATUS) == OK).select(*columns, *carry)
 
 
-def narrowed(classified: DataFrame, read: Collection[int]) -> DataFrame:
-    """Control columns and the typed columns in ``read``, which are null unless accepted."""
+def narrowed(
+    classified: DataFrame, read: Collection[int], carry: Sequence[str] = ()
+) -> DataFrame:
+    """Control columns, the typed columns in ``read`` (null unless accepted) and ``carry``."""
     accepted = F.col(STATUS) == OK
     values = [F.when(accepted, F.col(value_name(i))).alias(value_name(i)) for i in sorted(read)]
-    return classified.select(STATUS, MARKED, RECORD_KEY, MESSAGE, *values)
+    return classified.select(STATUS, MARKED, RECORD_KEY, MESSAGE, *values, *carry)
 
 
 def failed_conversions(classified: DataFrame) -> DataFrame:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.classify import ARITY, CONVERT, MARKED, OK, REQUIRED, STATUS
 from millrace.operators.rejects import is_logged
-from millrace.sources.raw import input_paths, read_lines
+from millrace.sources.raw import input_paths, input_roots, read_roots
 
 # Fixed status code of a run record: in progress.
 IN_PROGRESS = "2"
@@ -82,16 +81,35 @@ def folder_manifest(
 ) -> DataFrame:
     """``name, record_count, counted_at`` per folder; each folder is counted where it lies.
 
-    Pairs may repeat a name. A path may be a comma-separated list, as in a load.
+    Pairs may repeat a name. A path may be a comma-separated list, as in a load; a file that it
+    names twice counts once. One scan reads the files of all folders, each file once: lines are
+    counted by file, and a file's count goes to every folder that holds it.
     """
-    pairs = folders.items() if isinstance(folders, Mapping) else folders
-    counts = [
-        read_lines(spark, *input_paths(path))
-        .agg(F.count("*").alias("record_count"))
-        .select(F.lit(name).alias("name"), "record_count", F.lit(counted_at).alias("counted_at"))
-        for name, path in pairs
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    pairs = list(folders.items() if isinstance(folders, Mapping) else folders)
+    held, paths = [], {}
+    for place, (_, path) in enumerate(pairs):
+        for root, nested in input_roots(spark, *input_paths(path)):
+            held.append((place, root))
+            paths[root] = nested
+    by_file = read_roots(spark, paths).groupBy("file").agg(F.count("*").alias("lines"))
+    parent = F.regexp_replace("file", "/[^/]*$", "")
+    owners = spark.createDataFrame(held, "place int, root string")
+    sums = (
+        by_file.select("file", "lines", F.explode(F.array("file", parent)).alias("root"))
+        .join(owners, "root")
+        .select("place", "file", "lines")
+        .distinct()
+        .groupBy("place")
+        .agg(F.sum("lines").alias("lines"))
+    )
+    names = spark.createDataFrame(
+        [(place, name) for place, (name, _) in enumerate(pairs)], "place int, name string"
+    )
+    return names.join(sums, "place", "left").select(
+        "name",
+        F.coalesce("lines", F.lit(0)).alias("record_count"),
+        F.lit(counted_at).alias("counted_at"),
+    )
 
 
 def manifest_lines(manifest: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,11 +61,14 @@ def is_logged(strict: bool = False, log_required: bool = False) -> Column:
 
 
 def logged_rows(
-    classified: DataFrame, strict: bool = False, log_required: bool = False
+    classified: DataFrame,
+    strict: bool = False,
+    log_required: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The classified rows the error log holds, without their typed values."""
     return classified.filter(is_logged(strict, log_required)).select(
-        STATUS, MARKED, RECORD_KEY, MESSAGE
+        STATUS, MARKED, RECORD_KEY, MESSAGE, *carry
     )
 
 
@@ -76,8 +80,10 @@ def _message() -> Column:
     )
 
 
-def reject_table(classified: DataFrame, label: RunLabel, condition: Column) -> DataFrame:
-    """Chosen classified rows as the five typed log columns, texts in full.
+def reject_table(
+    classified: DataFrame, label: RunLabel, condition: Column, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Chosen classified rows as the five typed log columns, texts in full, then ``carry``.
 
     The kinds of reject exclude each other, so one filter over one pass gives their bag union.
     """
@@ -87,6 +93,7 @@ def reject_table(classified: DataFrame, label: RunLabel, condition: Column) -> D
         F.col(RECORD_KEY),
         F.lit(label.run_time).alias("error_ts"),
         _message().alias("message"),
+        *carry,
     )
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import clock
+from millrace.sinks.stage import stage_table
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -19,6 +23,44 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(target))
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> None:
+    """A small file of the driver's, such as a marker; it must not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file of the driver's, whatever its name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; what is at ``target`` must be gone, its parent is made."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def dated_path(path: str, moment: datetime) -> str:
     """``path/yyyy/MM/dd``."""
     return f"{path.rstrip('/')}/{clock.day_folder(moment)}"
@@ -43,6 +85,32 @@ def csv_delimiter(separator: str) -> str:
     return separator.replace("\\", "\\\\")
 
 
+def in_ordered_files(table: DataFrame, files: int, path: str) -> DataFrame:
+    """An ordered result in ``files`` output files, in its order within and between them.
+
+    Rows are numbered as the result's own last sort hands them out, and staged at ``path``: the
+    statement runs once, with its usual tasks. A range exchange on the numbers then deals them out;
+    its sample reads the numbers only.
+    """
+    place = "_place"
+    while place in table.columns:
+        place += "_"
+    staged = stage_table(table.withColumn(place, F.monotonically_increasing_id()), path)
+    return staged.repartitionByRange(files, place).sortWithinPartitions(place).drop(place)
+
+
+# Plan nodes that hand on their input's rows in its order.
+_IN_ORDER = ("Project", "Filter", "GlobalLimit", "LocalLimit", "Offset", "SubqueryAlias")
+
+
+def is_ordered(table: DataFrame) -> bool:
+    """Whether the plan ends in a sort of all rows."""
+    plan = table._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in _IN_ORDER:
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "Sort" and getattr(plan, "global")()
+
+
 def write_data(table: DataFrame, path: str, separator: str) -> None:
     """Header CSV that replaces what is there. Empty text is written as nothing."""
     table.write.mode("overwrite").options(
@@ -60,6 +128,32 @@ def write_log(lines: DataFrame, path: str, files: int | None = None) -> None:
     sized_lines.write.mode("errorifexists").text(path)
 
 
+# A null in a reject file; a text of this form gets one more backslash.
+_NULL = r"\N"
+_REJECT_FORMAT = {
+    "header": True, "quoteAll": True, "escape": '"', "nullValue": _NULL, "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def write_rejects(table: DataFrame, path: str) -> None:
+    """A table of texts as CSV with a header; commas, quotes, line ends, blanks, nulls come back."""
+    texts = [
+        F.when(F.col(f"`{c}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), F.col(f"`{c}`")))
+        .otherwise(F.col(f"`{c}`"))
+        .alias(c)
+        for c in table.columns
+    ]
+    table.select(*texts).hint("rebalance").write.mode("errorifexists").options(**_REJECT_FORMAT).csv(path)
+
+
+def read_rejects(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """What ``write_rejects`` wrote. A value may hold line ends, so a file is read by one task."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    read = spark.read.schema(schema).options(multiLine=True, **_REJECT_FORMAT).csv(path)
+    return read.select(*[F.regexp_replace(f"`{c}`", r"^\\(\\+N)$", "$1").alias(c) for c in columns])
+
+
 def write_small_log(lines: DataFrame, path: str) -> None:
     """A log of a few aggregated rows, such as a run record or a manifest, as one file.
 
