@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import map_batches
+from millrace.llm.shared import carried, map_batches
 from millrace.llm.words import slices
 
 # The base patterns and the order in which kinds are listed.
@@ -220,8 +220,7 @@ def find_personal(
     table gives no rows; a carried column named like one of ours gives way to it.
     """
     own = ["spans", *(["redacted"] if redact else [])]
-    carry = [c for c in carry if c not in own]
-    held = [f"_c{i}" for i in range(len(carry))]
+    names, held, picked = carried(docs, carry, *own)
 
     def work(batch):
         texts = batch.column(batch.schema.get_field_index("text"))
@@ -234,13 +233,9 @@ def find_personal(
                     clean.append(_redacted(text, found))
             yield {"_rows": slice(a, b), "spans": spans, "redacted": clean}
 
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)],
-        F.col("text").cast("string").alias("text"),
-    )
     ddl = "spans array<struct<kind:string,first:int,end:int,score:double>>"
-    made = map_batches(rows, work, ddl + (", redacted string" if redact else ""), held)
-    return made.select(*[F.col(h).alias(c) for h, c in zip(held, carry, strict=True)], *own)
+    made = map_batches(docs.select(*picked), work, ddl + (", redacted string" if redact else ""), held)
+    return made.select(*[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], *own)
 
 
 def _redacted(text: str | None, spans: list[tuple[int, int, str, float]]) -> str | None:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Broadcasted, array_pieces, map_batches, sum_arrays
+from millrace.llm.shared import Broadcasted, array_pieces, carried, map_batches, sum_arrays
 from millrace.llm.words import LOWER, slices, spaced_bytes
 
 # The base patterns, in the order in which kinds are listed, and their least lengths.
@@ -181,10 +181,9 @@ def find_secrets(
     texts have no spans. Rows are judged one by one, so repeated rows get equal results; a carried
     column named like one of ours gives way to it.
     """
-    carry = [c for c in carry if c not in ("spans", "redacted")]
+    names, held, picked = carried(docs, carry, "spans", "redacted")
     ratio = train(docs) if ratio is None else ratio
     sent = Broadcasted(docs.sparkSession, ratio)
-    held = [f"_c{i}" for i in range(len(carry))]
 
     def work(batch):
         texts = batch.column(batch.schema.get_field_index("text"))
@@ -201,15 +200,11 @@ def find_secrets(
                 redacted[i] = _redact(text, found)
             yield {"_rows": slice(a, b), "spans": spans, "redacted": redacted}
 
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)],
-        F.col("text").cast("string").alias("text"),
-    )
     made = map_batches(
-        rows, work, "spans array<struct<kind:string,first:int,end:int>>, redacted string", held
+        docs.select(*picked), work, "spans array<struct<kind:string,first:int,end:int>>, redacted string", held
     )
     return made.select(
-        *[F.col(h).alias(c) for h, c in zip(held, carry, strict=True)], "spans", "redacted"
+        *[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], "spans", "redacted"
     )
 
 

@@ -45,6 +45,17 @@ def forget(*tables: DataFrame) -> None:
             delete_folder(entry[0], path)
 
 
+def staged_so_far() -> int:
+    return len(_STAGED)
+
+
+def forget_since(count: int, kept: DataFrame) -> None:
+    """Remove what was staged after ``staged_so_far`` gave ``count``, but for one table."""
+    for spark, path in [e for e in _STAGED[count:] if e[1] != kept._staged_path]:
+        _STAGED.remove((spark, path))
+        delete_folder(spark, path)
+
+
 def forget_all() -> None:
     while _STAGED:
         spark, path = _STAGED.pop()
@@ -79,6 +90,18 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def carried(docs: DataFrame, carry: Iterable[str], *own: str) -> tuple[list[str], list[str], list[Column]]:
+    """Columns to carry through a map beside ``text``: their names, the names they travel under, and
+    what to select.
+
+    Columns named like ``own`` give way. ``text`` travels once, under its own name.
+    """
+    names = [c for c in dict.fromkeys(carry) if c not in own]
+    held = ["text" if c == "text" else f"_c{i}" for i, c in enumerate(names)]
+    picked = [F.col(f"`{c}`").alias(h) for c, h in zip(names, held, strict=True) if h != "text"]
+    return names, held, [*picked, F.col("text").cast("string").alias("text")]
+
+
 def fields(ddl: str) -> list[T.StructField]:
     return T.StructType.fromDDL(ddl).fields
 
@@ -91,6 +114,31 @@ def release() -> None:
         trim(0)
 
 
+_THREAD_CALLS = ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads")
+_single: list[bool] = []
+
+
+def one_thread() -> None:
+    """Let this process's matrix products use one thread: Spark already runs a task per core.
+
+    Small products otherwise wake threads that wait busily, which doubles a task's CPU time.
+    Without the usual library, or its list of loaded files, nothing changes.
+    """
+    if _single:
+        return
+    _single.append(True)
+    try:
+        with open("/proc/self/maps") as maps:
+            loaded = {line.split()[-1] for line in maps if "openblas" in line}
+    except OSError:
+        return
+    for path in loaded:
+        library = ctypes.CDLL(path)
+        for name in _THREAD_CALLS:
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def map_batches(
     rows: DataFrame,
     work: Callable[[pa.RecordBatch], Iterable[dict]],
@@ -237,6 +285,8 @@ def sum_arrays(blobs: DataFrame, combine: str = "add") -> list[bytes]:
                 ],
                 names=["piece", "data"],
             )
+        held = {}
+        release()
 
     ddl = "piece int, data binary"
     salted = blobs.select("piece", "data").repartition(F.col("piece"), F.pmod(F.xxhash64("data"), F.lit(16)))
@@ -258,19 +308,26 @@ def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndar
     """A Bloom filter with two places per key, of fixed size, over a column of longs."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = np.zeros(1 << bits, bool)
+        held = np.zeros(1 << (bits - 3), np.uint8)
         any_row = False
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            any_row = any_row or len(values) > 0
+            if not len(values):
+                continue
+            any_row = True
             for p in _filter_places(values, bits):
-                places[p] = True
+                p = np.sort(p)
+                byte, first = np.unique(p >> np.uint64(3), return_index=True)
+                bit = np.uint8(128) >> (p & np.uint64(7)).astype(np.uint8)
+                held[byte] |= np.bitwise_or.reduceat(bit, first)
         if any_row:
-            made = array_pieces(np.packbits(places))
+            made = array_pieces(held)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made["piece"], pa.int32()), pa.array(made["data"], pa.binary())],
                 names=["piece", "data"],
             )
+        held = None
+        release()
 
     blobs = keys.select(column).mapInArrow(build, "piece int, data binary")
     merged = b"".join(sum_arrays(blobs, "or"))
@@ -297,6 +354,10 @@ class Broadcasted:
     def value(self):
         return self._sent.value
 
+    def end(self) -> None:
+        """Free it everywhere; what reads it must have been written or collected before."""
+        self._sent.destroy()
+
 
 MOST_ROUNDS = 60
 

@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import (
     Broadcasted,
+    carried,
     forget,
     in_filter,
     key_filter,
     map_batches,
+    release,
     small_batches,
     staged,
 )
@@ -125,14 +127,14 @@ def _factor_rows(docs: DataFrame, shared: Broadcasted, window: int, anchor: int)
     )
 
 
-def _filtered(docs: DataFrame, keys: Broadcasted, wanted: bool) -> DataFrame:
-    """Documents whose key may be, or is certainly not, in a filter."""
+def _filtered(docs: DataFrame, keys: Broadcasted) -> DataFrame:
+    """Documents whose key may be in a filter."""
     at = docs.columns.index("_k1")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = in_filter(keys.value, batch.column(at).to_numpy())
-            yield batch.filter(pa.array(hit == wanted))
+            yield batch.filter(pa.array(in_filter(keys.value, batch.column(at).to_numpy())))
+        release()
 
     return docs.mapInArrow(pick, docs.schema)
 
@@ -178,10 +180,22 @@ def _merged(first: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(first[fresh].tolist(), end[np.append(fresh[1:], len(end)) - 1].tolist()))
 
 
-def _cut(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Remove the words in ``spans`` and join the kept ones by a blank."""
+def _cut(docs: DataFrame, carry: list[str], but: Broadcasted | None = None) -> DataFrame:
+    """Remove the words in ``spans`` and join the kept ones by a blank.
+
+    ``but`` leaves out documents whose key may be in a filter.
+    """
 
     def work(batch):
+        if but is not None:
+            keys = batch.column(batch.schema.get_field_index("_k1")).to_numpy()
+            yield from _cut_rows(batch, np.flatnonzero(~in_filter(but.value, keys)))
+        else:
+            yield from _cut_rows(batch, None)
+
+    def _cut_rows(batch, some):
+        if some is not None:
+            batch = batch.take(pa.array(some))
         column = batch.column(batch.schema.get_field_index("text"))
         bounds, firsts, ends = _pairs(batch.column(batch.schema.get_field_index("spans")))
         for a, b in slices(column):
@@ -200,7 +214,7 @@ def _cut(docs: DataFrame, carry: list[str]) -> DataFrame:
                 kept.append(b" ".join(left).decode())
                 runs.append(own)
             yield {
-                "_rows": slice(a, b),
+                "_rows": slice(a, b) if some is None else some[a:b],
                 "n_words": n_words,
                 "n_removed": n_removed,
                 "kept_text": kept,
@@ -233,12 +247,10 @@ def remove_repeats(
     spark = docs.sparkSession
     small_batches(spark)
     own = ("n_words", "n_removed", "kept_text", "removed")
-    names = [c for c in dict.fromkeys(carry) if c not in own]
-    held = [f"_c{i}" for i in range(len(names))]
+    names, held, picked = carried(docs, carry, *own)
     key = F.col(id_column).cast("string"), F.col("text").cast("string")
     inner = docs.select(
-        *[F.col(f"`{c}`").alias(h) for c, h in zip(names, held, strict=True)],
-        F.col("text").cast("string").alias("text"),
+        *picked,
         F.xxhash64(*key).alias("_k1"),
         F.hash(*key).alias("_k2"),
     )
@@ -247,6 +259,7 @@ def remove_repeats(
     repeated = _anchor_counts(inner, window, anchor).filter("n > 1")
     shared = Broadcasted(spark, key_filter(repeated, "anchor"))
     rows = staged(_factor_rows(keyed, shared, window, anchor), "factors")
+    shared.end()
 
     # Written, so that the joins below see plain tables and can split a hot anchor.
     place = F.struct("_k1", "_k2", "first")
@@ -271,8 +284,9 @@ def remove_repeats(
         "ranges",
     )
     in_check = Broadcasted(spark, key_filter(ranges, "_k1"))
-    to_check = _filtered(keyed, in_check, True).join(ranges, ["_k1", "_k2"])
+    to_check = _filtered(keyed, in_check).join(ranges, ["_k1", "_k2"])
     windows = staged(_window_rows(to_check, window), "windows")
+    in_check.end()
     twice = staged(
         windows.groupBy("w").agg(F.count("*").alias("n")).filter("n > 1").select("w"), "twice"
     )
@@ -288,10 +302,11 @@ def remove_repeats(
     forget(judged, ranges, windows, twice)
 
     hit = Broadcasted(spark, key_filter(spans, "_k1"))
-    touched = _filtered(inner, hit, True).join(spans, ["_k1", "_k2"], "left")
+    touched = _filtered(inner, hit).join(spans, ["_k1", "_k2"], "left")
     kind = spans.schema["spans"].dataType
-    whole_texts = _filtered(inner, hit, False).withColumn("spans", F.lit(None).cast(kind))
-    cut = _cut(touched.select(*held, "text", "spans"), held).union(
-        _cut(whole_texts.select(*held, "text", "spans"), held)
+    whole_texts = inner.withColumn("spans", F.lit(None).cast(kind))
+    seen = list(dict.fromkeys([*held, "text", "spans"]))
+    cut = _cut(touched.select(*seen), held).union(
+        _cut(whole_texts.select("_k1", *seen), held, hit)
     )
     return cut.select(*[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], *own)
