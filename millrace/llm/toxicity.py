@@ -10,6 +10,7 @@ Chosen words are also looked for in neighbouring pieces of text that blanks cut
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,9 +23,12 @@ from pyspark.sql import functions as F
 from millrace.llm.shared import (
     Broadcasted,
     array_pieces,
+    carried,
+    forget,
     in_filter,
     key_filter,
     map_batches,
+    release,
     staged,
     sum_arrays,
 )
@@ -74,7 +78,6 @@ SIGN_COST = 0.3
 # A letter that repeats the one before: cheap to drop where three or more stand in a row.
 REPEAT_COST = 1.0
 DOUBLE_COST = 6.0
-BEAM = 48
 # Words cut by blanks: letters of a piece where there are three or more, bytes of a whole word, and
 # by how much the cut reading may be likelier.
 PIECE = 3
@@ -114,39 +117,53 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=2, keepdims=True))
 
 
+def readings(token: str, at: int) -> tuple[list[tuple[int, str, float]], float]:
+    """What a token's character may stand for: class, letter and cost of each; and what it costs to
+    drop it as a repetition of the letter before."""
+    c = token[at]
+    again = REPEAT_COST if c * 3 in token[max(at - 2, 0) : at + 3] else DOUBLE_COST
+    kind = 27 if ord(c) > 127 else int(CLASS[ord(c)])
+    if kind:
+        return [(kind, c, 0.0)], again
+    if c in LEET:
+        return [(ord(x) - 96, x, LEET_COST) for x in LEET[c]] + [(0, "", DROP_COST)], again
+    return [(0, "", SIGN_COST)], again
+
+
 class Decoder:
-    """Viterbi over the spellings a token may stand for."""
+    """Viterbi over the spellings a token may stand for; exact, as every state is kept.
+
+    A state is the last two letters, and each holds a chain of its letters, so a token takes time
+    and memory in proportion to its length.
+    """
 
     def __init__(self, model: np.ndarray):
         self.model = model.tolist()
-        self.decode = lru_cache(100_000)(self._decode)
-
-    def _decode(self, token: str) -> str:
-        model = self.model
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for at, c in enumerate(token):
-            row = token[max(at - 2, 0) : at + 3]
-            again = REPEAT_COST if c * 3 in row else DOUBLE_COST
-            kind = 27 if ord(c) > 127 else int(CLASS[ord(c)])
-            if kind:
-                options = [(kind, c, 0.0)]
-            elif c in LEET:
-                options = [(ord(x) - 96, x, LEET_COST) for x in LEET[c]] + [(0, "", DROP_COST)]
-            else:
-                options = [(0, "", SIGN_COST)]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+        self.decode = lru_cache(100_000)(lambda token: self.best(token)[1])
+
+    def best(self, token: str) -> tuple[float, str]:
+        """The likeliest reading and its log score; of equal ones the first found."""
+        model, worst = self.model, (-math.inf,)
+        states: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None)}
+        for at in range(len(token)):
+            options, again = readings(token, at)
+            after: dict[tuple[int, int], tuple] = {}
+            for (a, b), (score, chain) in states.items():
                 for kind, letter, cost in options:
-                    if letter and b == kind and score - again > after.get((a, b), (-1e9,))[0]:
-                        after[a, b] = (score - again, text)
+                    if letter and b == kind and score - again > after.get((a, b), worst)[0]:
+                        after[a, b] = (score - again, chain)
                     key = (b, kind) if letter else (a, b)
                     value = score - cost + (model[a][b][kind] if letter else 0.0)
-                    if value > after.get(key, (-1e9,))[0]:
-                        after[key] = (value, text + letter)
-            if len(after) > BEAM:
-                after = dict(sorted(after.items(), key=lambda s: -s[1][0])[:BEAM])
+                    if value > after.get(key, worst)[0]:
+                        after[key] = (value, (chain, letter) if letter else chain)
             states = after
-        return max((v + model[a][b][0], t) for (a, b), (v, t) in states.items())[1]
+        last = max(states, key=lambda s: states[s][0] + model[s[0]][s[1]][0])
+        score, chain = states[last]
+        letters = []
+        while chain is not None:
+            chain, letter = chain
+            letters.append(letter)
+        return score + model[last[0]][last[1]][0], "".join(reversed(letters))
 
     def split_score(self, letters: str, whole: tuple[int, int] | None = None) -> float:
         """Log probability of the likeliest words that ``letters`` fall into.
@@ -400,7 +417,10 @@ def fit(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, width: int) ->
 def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Model:
     """Learn from ``labels (id, toxic)``, one label per id (the larger, if they differ).
 
-    Null ids and null labels teach nothing. Without labels of both kinds the score is even.
+    Null ids and null labels teach nothing, an id that repeats in ``docs`` teaches with each row.
+    Without labels of both kinds, as with an empty table, the score is even and the model has no
+    keys. Other columns are not read. Texts of labelled rows move once, to meet their labels, and are kept until the model
+    is fitted.
     """
     spark = docs.sparkSession
     characters = character_model(docs)
@@ -415,19 +435,22 @@ def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(in_filter(wanted.value, batch.column(0).to_numpy())))
+        release()
 
     keyed = docs.filter(F.col(id_column).isNotNull()).select(
         F.xxhash64(id_column).alias("_key"),
         F.col(id_column).alias("_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    train = staged(
-        keyed.mapInArrow(pick, keyed.schema).join(marks, ["_key", "_id"]), "labelled"
-    )
+    # Labels are the smaller side at any size: a table of ids and marks, one row for each.
+    labelled = keyed.mapInArrow(pick, keyed.schema).join(marks.hint("shuffle_hash"), ["_key", "_id"])
+    train = staged(labelled.select("_key", "toxic", "text"), "labelled")
+    wanted.end()
     sent = Broadcasted(spark, characters)
     kinds = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     clean, toxic = kinds.get(0, 0), kinds.get(1, 0)
     if not clean or not toxic:
+        forget(train)
         return Model(characters, np.zeros(0, np.uint64), np.zeros(0), 0.0, np.zeros(0))
     chosen, counts = choose_features(_feature_counts(train, sent), clean, toxic)
     keys = Broadcasted(spark, chosen)
@@ -448,6 +471,9 @@ def train_model(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -
     share = min(1.0, FIT_ROWS / (clean + toxic))
     sample = train.filter(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < int(share * (1 << 20)))
     got = map_batches(sample.select("toxic", "text"), held, "at binary", ["toxic"]).collect()
+    forget(train)
+    sent.end()
+    keys.end()
     columns = [np.frombuffer(r["at"], np.int32) for r in got]
     rows = np.repeat(np.arange(len(got)), [len(c) for c in columns])
     marked = np.array([r["toxic"] for r in got], float)
@@ -461,10 +487,11 @@ def score_texts(docs: DataFrame, carry: list[str], model: Model) -> DataFrame:
     """``carry`` columns, ``score`` (0 to 1) and ``predicted`` of every document.
 
     Null and empty texts have no features and get the model's base score. Rows are judged one by
-    one, by their text alone; a carried column named like one of ours gives way to it.
+    one, by their text alone, so repeated rows score alike and an empty table gives no rows; a
+    carried column named like one of ours gives way to it. Very long texts are read whole; a very
+    long token is decoded in time linear in its length.
     """
-    carry = [c for c in carry if c not in ("score", "predicted")]
-    held = [f"_c{i}" for i in range(len(carry))]
+    names, held, picked = carried(docs, carry, "score", "predicted")
     sent = Broadcasted(docs.sparkSession, model)
 
     def work(batch):
@@ -479,11 +506,7 @@ def score_texts(docs: DataFrame, carry: list[str], model: Model) -> DataFrame:
                 "predicted": (score >= THRESHOLD).astype(np.int32),
             }
 
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)],
-        F.col("text").cast("string").alias("text"),
-    )
-    made = map_batches(rows, work, "score double, predicted int", held)
+    made = map_batches(docs.select(*picked), work, "score double, predicted int", held)
     return made.select(
-        *[F.col(h).alias(c) for h, c in zip(held, carry, strict=True)], "score", "predicted"
+        *[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], "score", "predicted"
     )
