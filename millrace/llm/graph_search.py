@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import map_groups, staged
-from millrace.llm.vectors import matrix, unit, usable
+from millrace.llm.shared import forget, map_groups, one_thread, staged
+from millrace.llm.vectors import direction, matrix, unit, usable
 
 SHARD_ROWS = 8192
 DEGREE = 32
@@ -172,6 +172,7 @@ def build_index(distinct: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     keyed = dealt.withColumn("shard", F.xxhash64("dim", "part"))
 
     def build(group: pa.Table) -> dict:
+        one_thread()
         group = group.sort_by("_vid")
         x = unit(matrix(group.column("vector"))).astype(np.float32)
         graph, entries = build_graph(x)
@@ -195,6 +196,8 @@ def build_index(distinct: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 
 def _search(group: pa.Table, k: int, beam: int) -> dict | None:
+    """What a beam finds of the ``k`` + 1 nearest directions of each query, with all that tie."""
+    one_thread()
     asks = group.filter(pa.compute.is_null(group.column("place")))
     shard = group.filter(pa.compute.is_valid(group.column("place"))).sort_by("place")
     if not len(asks) or not len(shard):
@@ -209,9 +212,11 @@ def _search(group: pa.Table, k: int, beam: int) -> dict | None:
     out: dict[str, list] = {"query": [], "found": [], "score": []}
     for a in range(0, len(queries), BATCH):
         ids, _ = beam_search(x, graph, entries, queries[a : a + BATCH].astype(np.float32), beam)
-        ids = ids[:, : 4 * k]
         score = np.einsum("ij,ikj->ik", queries[a : a + BATCH], exact[np.maximum(ids, 0)])
-        line, column = np.nonzero(ids >= 0)
+        score[ids < 0] = -np.inf
+        # A query's own direction and k others are enough, but for equal scores.
+        least = np.sort(score, axis=1)[:, ::-1][:, min(k, beam - 1)]
+        line, column = np.nonzero((ids >= 0) & (score >= least[:, None]))
         out["query"].append(names[a + line])
         out["found"].append(vids[ids[line, column]])
         out["score"].append(score[line, column])
@@ -230,31 +235,34 @@ def nearest(
 
     Nearness is the cosine, in double precision; ties go to the smaller id. Candidates are all rows
     of the query's vector length but the query's own row; a repeated id or an equal vector is a
-    candidate of its own. Rows whose vector is null, empty, zero or holds a null or non-finite
-    component take no part. A query has fewer rows if there are fewer candidates. ``is_query`` null
-    means no. A null id is the largest in a tie.
+    candidate of its own. Vectors of one direction, scaled copies among them, have equal scores
+    with every query: they are one node of the graph, and the smallest ids of it answer. Rows whose
+    vector is null, empty, zero or holds a null or non-finite component take no part. A query has
+    fewer rows if there are fewer candidates. ``is_query`` null means no. A null id is the largest
+    in a tie. An empty table gives no rows; other columns are not read.
     """
+    given = F.col(vector).cast("array<double>")
     rows = staged(
         vectors.filter(usable(vector)).select(
             F.col(id_column).alias("id"),
-            F.col(vector).cast("array<double>").alias("vector"),
+            given.alias("vector"),
             F.size(vector).alias("dim"),
-            F.xxhash64(F.col(vector).cast("array<double>")).alias("_vid"),
+            direction(given).alias("_vid"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
             F.monotonically_increasing_id().alias("_row"),
         ),
         "vectors",
     )
-    # Of equal vectors, k + 1 rows can be among a query's nearest.
+    # Of one direction, k + 1 rows can be among a query's nearest.
     by_id = W.partitionBy("_vid").orderBy(F.col("id").asc_nulls_last(), "_row")
     few = rows.select("_vid", "id", "_row", F.row_number().over(by_id).alias("n"))
     few = staged(few.filter(F.col("n") <= k + 1).drop("n"), "few")
     distinct = rows.groupBy("_vid").agg(
-        F.first("dim").alias("dim"), F.first("vector").alias("vector")
+        F.first("dim").alias("dim"), F.min_by("vector", F.struct("id", "_row")).alias("vector")
     )
     index = staged(build_index(distinct), "index")
     asked = rows.filter("asks")
-    shards = index.groupBy("dim").agg(F.collect_set("shard").alias("shards"))
+    shards = index.select("dim", "shard").distinct()
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("_vid"), F.lit(blocks))
 
@@ -264,8 +272,8 @@ def nearest(
     asks = (
         asked.select("_vid", "dim", "vector")
         .dropDuplicates(["_vid"])
-        .join(F.broadcast(shards), "dim")
-        .select("_vid", "vector", F.explode("shards").alias("shard"), block.alias("block"))
+        .join(shards, "dim")
+        .select("_vid", "vector", "shard", block.alias("block"))
         .select(key(F.col("block")).alias("key"), "_vid", "vector")
     )
     held = index.select(
@@ -283,9 +291,10 @@ def nearest(
         ),
         "found",
     )
-    best = W.partitionBy("query").orderBy(F.desc("score"), "found")
-    # Equal scores may hide a smaller id, so some more than k distinct vectors go on.
-    near = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= 4 * k)
+    forget(index)
+    # Equal scores may hide a smaller id, so all that tie with the last go on.
+    best = W.partitionBy("query").orderBy(F.desc("score"))
+    near = found.withColumn("n", F.rank().over(best)).filter(F.col("n") <= k + 1)
     pairs = (
         near.join(few, near["found"] == few["_vid"])
         .select("query", "score", F.col("id").alias("vec_id"), F.col("_row").alias("other"))

@@ -17,6 +17,18 @@ def usable(column: str) -> Column:
     return F.coalesce(v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+# Components of a unit vector that agree so far are equal.
+_DIRECTION_STEPS = 1e12
+
+
+def direction(vector: Column) -> Column:
+    """A 64-bit name of a usable vector's direction: scaled copies share it."""
+    most = F.array_max(F.transform(vector, F.abs))
+    scaled = F.transform(vector, lambda x: x / most)
+    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
+    return F.xxhash64(F.transform(scaled, lambda x: F.floor(x / norm * _DIRECTION_STEPS + 0.5)))
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Equally long vectors as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):

@@ -244,3 +244,31 @@ def test_graph_odd_rows(spark):
         by.setdefault(r.query_id, []).append(r.vec_id)
     assert by == {0: [1, 2, 3, 4, 5], 8: [0, 1, 2, 3, 4], 23: [0, 1, 2, 3, 4]}
     assert graph_search.nearest(vectors.limit(0), F.lit(True)).count() == 0
+
+
+def test_graph_ties_go_to_the_smallest_ids(spark):
+    """Scaled copies have equal cosines with every query, however many there are."""
+    rows = [(i, [float(i + 1), 0.0]) for i in range(60)]
+    got = graph_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 50)
+    assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(i, 1.0) for i in range(5)]
+
+
+def test_graph_ranks_scaled_copies_as_brute_force(spark):
+    rng = np.random.default_rng(6)
+    bases = rng.standard_normal((7, 5)).astype(np.float32).astype(float)
+    # Mirrored directions tie with a query on the axis between them.
+    bases = np.concatenate([bases, bases[:3] * [1, -1, -1, -1, -1], [[1, 0, 0, 0, 0]]])
+    rows = [(int(i), (bases[i % len(bases)] * rng.choice([0.1, 1, 3, 7e5, 1e-7])).tolist()) for i in rng.permutation(330)]
+    rows += [(5, (bases[10] * 9).tolist()), (None, (bases[2] * 2).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in graph_search.nearest(table, F.col("vec_id") % 10 == 0).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    x = np.array([v for _, v in rows])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q, (query, _) in enumerate(rows):
+        if query is not None and query % 10 == 0:
+            near = sorted(
+                (-round(float(x[q] @ x[j]), 9), i is None, i) for j, (i, _) in enumerate(rows) if j != q
+            )[:5]
+            assert got[query] == [(i, -s) for s, _, i in near]
