@@ -16,7 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Broadcasted, array_pieces, map_batches, staged, sum_arrays
+from millrace.llm.shared import (
+    Broadcasted,
+    array_pieces,
+    map_batches,
+    one_thread,
+    release,
+    staged,
+    sum_arrays,
+)
 from millrace.llm.words import slices, split_words
 
 VOCABULARY = 1024
@@ -325,7 +333,8 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
     """Rounds of training in every task and averaging, weighted by tokens.
 
     A task's rows are dealt to the rounds by their place, so copies of a text are in all of them
-    and each row is trained on in exactly one.
+    and each row is trained on in exactly one. The weights therefore depend on how rows lie in
+    tasks: more tasks see less each, and their average moves less far from the first weights.
     """
     spark = docs.sparkSession
     network = first
@@ -336,6 +345,7 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
         sent = Broadcasted(spark, network.flat())
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
+            one_thread()
             own, seen, rows = Network.unflat(sent.value), 0, 0
             for batch in batches:
                 place = np.arange(rows, rows + batch.num_rows)
@@ -352,6 +362,7 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
                     [pa.array(made["piece"], pa.int32()), pa.array(made["data"], pa.binary())],
                     names=["piece", "data"],
                 )
+            release()
 
         raw = b"".join(sum_arrays(texts.mapInArrow(run, "piece int, data binary")))
         if not raw:
@@ -368,7 +379,9 @@ def score(docs: DataFrame, carry: list[str], held_out: Column) -> DataFrame:
     both in log10. Null and empty texts are one end token. Without training documents the base
     score is 0 for every token and the network is untrained. A null ``held_out`` counts as false.
     Rows that repeat count, and are scored, each on its own; a carried column named like one of
-    ours gives way to it.
+    ours gives way to it. Very long texts are read window by window, with the state carried on.
+    All but ``score`` are the same for any partitioning; ``score`` depends on it as the network's
+    weights do.
     """
     spark = docs.sparkSession
     own = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -389,6 +402,7 @@ def score(docs: DataFrame, carry: list[str], held_out: Column) -> DataFrame:
     sent = Broadcasted(spark, network.flat())
 
     def work(batch):
+        one_thread()
         lex, net = lexicon.value, Network.unflat(sent.value)
         column = batch.column(batch.schema.get_field_index("text"))
         n = batch.num_rows
