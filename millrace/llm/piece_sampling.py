@@ -27,7 +27,10 @@ MARK = "▁"
 SAMPLES = 2
 # A piece of merge rank r weighs 1 / (r + OFFSET); a fallback byte counts as the last rank.
 OFFSET = 3.0
+# Words are shared within a slice of so many bytes of text, which bounds a task's memory.
 SLICE = 600_000
+# A word mark that stands in a text itself; blanks are what marks stand for elsewhere.
+OWN_MARK = (1 << 21) - 1
 
 
 @dataclass
@@ -79,16 +82,16 @@ class Pieces:
         raw = b"".join([self.text[i] for i in ids])
         return raw[1:].decode("utf-8", "replace") if raw else ""
 
-    def decode_to(self, texts: list[str], ids) -> list[bool]:
-        """Whether each list of piece ids decodes to its text."""
+    def decode_to(self, texts: list[str], own: list[int], ids) -> list[bool]:
+        """Whether each list of piece ids decodes to the text that ``own`` names."""
+        wanted = [f" {t}".encode("utf-8", "replace") if t else b"" for t in texts]
         table = pa.array(self.text, pa.large_binary())
         ends = np.cumsum([len(x) for x in ids])
         flat = table.take(pa.array(np.concatenate([np.asarray(x, np.int64) for x in ids])))
         at = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset :][np.append(0, ends)]
-        raw = flat.buffers()[2].to_pybytes() if flat.buffers()[2] else b""
+        raw = memoryview(flat.buffers()[2] or b"").cast("B")
         return [
-            raw[a:b] == (f" {t}".encode("utf-8", "replace") if t else b"")
-            for t, a, b in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)
+            raw[a:b] == wanted[i] for i, a, b in zip(own, at[:-1].tolist(), at[1:].tolist(), strict=True)
         ]
 
 
@@ -132,7 +135,10 @@ def build_lattices(chars: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> Lat
     short = np.zeros(n, bool)
     short[source[target == source + 1]] = True
     spelled = np.flatnonzero(~short)
-    raws = [chr(c).encode("utf-8", "replace") for c in chars[spelled].tolist()]
+    raws = [
+        MARK.encode() if c == OWN_MARK else chr(c).encode("utf-8", "replace")
+        for c in chars[spelled].tolist()
+    ]
     source = np.concatenate([source, spelled])
     target = np.concatenate([target, spelled + 1])
     weight = np.concatenate(
@@ -289,15 +295,27 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins[bounds[:-1][np.diff(bounds) > 0]] = True
     begin = np.flatnonzero(begins)
     first = np.searchsorted(begin, bounds)
+    chars[chars == ord(MARK)] = OWN_MARK
     chars[blank] = ord(MARK)
     return chars, np.append(begin, len(chars)), first
 
 
+def log_inclusion(log_p: float, limit: float) -> float:
+    """Log of the chance that a path of probability ``exp(log_p)`` arrives before ``limit``.
+
+    A long text's path has a chance too small for a double, but not too small for its log.
+    """
+    if math.isinf(limit):
+        return 0.0
+    log_odds = log_p + math.log(limit)
+    return log_odds if log_odds < -30 else math.log(-math.expm1(-math.exp(log_odds)))
+
+
 def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) -> list[list[tuple]]:
     chars, bounds, first = _words(texts)
     count = len(bounds) - 1
     if not count:
-        return [[(0, [], 0.0, 0.0, 1.0)] for _ in texts]
+        return [[(0, [], 0.0, 0.0, 0.0)] for _ in texts]
     values = (chars.astype(np.uint64) + np.uint64(1)) * powers(len(chars))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
     names = (sums[bounds[1:]] - sums[bounds[:-1]]) * powers(len(chars) + 1, True)[bounds[:-1]]
@@ -313,7 +331,7 @@ def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) ->
     for i in range(len(texts)):
         a, b = first[i], first[i + 1]
         if a == b:
-            out.append([(0, [], 0.0, 0.0, 1.0)])
+            out.append([(0, [], 0.0, 0.0, 0.0)])
             continue
         mine = [(e[at[a] : at[b]], at[a : b + 1] - at[a]) for e, at in walks]
         found = _sample(lat, mine, int(seeds[i]), samples)
@@ -324,9 +342,7 @@ def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) ->
             offset = np.concatenate([[0], np.cumsum(many)[:-1]])
             ids = lat.ids[np.repeat(lat.id_start[path] - offset, many) + np.arange(many.sum())]
             log_p = float(lat.share[path].sum())
-            # The chance that this path arrives before the first one left out.
-            odds = math.exp(log_p) * limit if math.isfinite(limit) else math.inf
-            rows.append((rank, ids, log_p, -math.log(arrival), -math.expm1(-odds)))
+            rows.append((rank, ids, log_p, -math.log(arrival), log_inclusion(log_p, limit)))
         out.append(rows)
     return out
 
@@ -341,12 +357,15 @@ def sample_segmentations(
     """``carry`` columns and up to ``samples`` distinct segmentations of every whole text.
 
     Adds ``sample`` (from 0, best first), ``ids``, ``round_trip`` (whether they decode to the text),
-    ``log_probability``, ``perturbed`` (its Gumbel value) and ``inclusion`` (the chance of being drawn before the first one left out). Null and
-    empty texts have one segmentation without pieces. A text with fewer segmentations has fewer
-    rows. Equal ids and texts get equal samples. Characters outside the vocabulary become bytes. A
-    carried column named like one of ours gives way to it.
+    ``log_probability``, ``perturbed`` (its Gumbel value) and ``inclusion`` (the chance of being
+    drawn before the first one left out, 0 where a double cannot hold it) with its
+    ``log_inclusion``. Null and empty texts have one segmentation without pieces. A text with fewer
+    segmentations has fewer rows. Equal ids and texts get equal samples, so repeated rows do.
+    Characters outside the vocabulary, and a word mark of the text's own, become bytes. A very long
+    text is one slice: its lattice takes some hundred bytes a character in one task. An empty
+    table gives no rows. A carried column named like one of ours gives way to it.
     """
-    own = ("sample", "ids", "round_trip", "log_probability", "perturbed", "inclusion")
+    own = ("sample", "ids", "round_trip", "log_probability", "perturbed", "inclusion", "log_inclusion")
     names = [c for c in dict.fromkeys(carry) if c not in own]
     held = [f"_c{i}" for i in range(len(names))]
     sent = Broadcasted(docs.sparkSession, Pieces.load(model))
@@ -363,21 +382,27 @@ def sample_segmentations(
             given = texts.slice(a, b - a).to_pylist()
             found = _batch(given, seeds[a:b], sent.value, samples)
             flat = [(i, *row) for i, own_rows in enumerate(found, a) for row in own_rows]
-            at, rank, ids, log_p, perturbed, inclusion = zip(*flat, strict=True)
+            at, rank, ids, log_p, perturbed, included = zip(*flat, strict=True)
+            lengths = [len(x) for x in ids]
             yield {
                 "_rows": np.array(at),
                 "sample": rank,
-                "round_trip": sent.value.decode_to([given[i - a] for i in at], ids),
-                "ids": pa.array([np.asarray(x, np.int32) for x in ids], pa.list_(pa.int32())),
+                "round_trip": sent.value.decode_to(given, [i - a for i in at], ids),
+                "ids": pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *lengths]), pa.int32()),
+                    pa.array(np.concatenate([np.asarray(x, np.int32) for x in ids])),
+                ),
                 "log_probability": log_p,
                 "perturbed": perturbed,
-                "inclusion": inclusion,
+                "inclusion": np.exp(included),
+                "log_inclusion": included,
             }
 
     made = map_batches(
         rows,
         work,
-        "sample int, ids array<int>, round_trip boolean, log_probability double, perturbed double, inclusion double",
+        "sample int, ids array<int>, round_trip boolean, log_probability double, perturbed double, "
+        "inclusion double, log_inclusion double",
         held,
     )
     return made.select(*[F.col(h).alias(c) for h, c in zip(held, names, strict=True)], *own)

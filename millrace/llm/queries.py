@@ -45,6 +45,7 @@ def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "log_probability",
         "perturbed",
         "inclusion",
+        "log_inclusion",
     )
 
 

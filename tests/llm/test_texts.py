@@ -168,7 +168,7 @@ def test_sampled_segmentations_follow_their_law(pieces):
     second = Counter(tuple(r[1][1]) for r in found)
     p = {tuple(s[1]): math.exp(s[2]) for r in found for s in r}
     assert all(tuple(r[0][1]) != tuple(r[1][1]) for r in found)
-    assert all(r[0][3] > r[1][3] and 0 <= r[1][4] <= 1 for r in found)
+    assert all(r[0][3] > r[1][3] and r[1][4] <= 0 for r in found)
     likely = sorted(p, key=p.get)[-4:]
     for k in likely:
         assert first[k] / n == pytest.approx(p[k], abs=0.03)
@@ -193,11 +193,39 @@ def test_runs_of_blanks_are_pieces(pieces, spark):
     assert all(r.round_trip and r.decoded == r.text for r in piece_sampling.decode(got).collect())
 
 
-def test_segmentations_round_trip(spark, odd):
+def test_word_marks_of_a_text_are_spelled(spark):
+    rows = [(1, "a▁b"), (2, "▁"), (3, "▁▁ ▁ a ▁")]
+    table = spark.createDataFrame(rows, "doc_id int, text string")
+    got = piece_sampling.sample_segmentations(table, ["doc_id", "text"])
+    assert all(r.round_trip and r.decoded == r.text for r in piece_sampling.decode(got).collect())
+
+
+def test_inclusion_of_long_texts_has_a_log(spark, pieces):
+    """The chance of a short text agrees with how often it is drawn; that of a long one underflows."""
+    n = 4000
+    seeds = piece_sampling.mix(np.arange(n).astype(np.uint64))
+    for log_p, limit in ((-1.0, 0.5), (-40.0, 3.0), (-0.1, 1e-9)):
+        odds = math.exp(log_p) * limit
+        assert piece_sampling.log_inclusion(log_p, limit) == pytest.approx(math.log(-math.expm1(-odds)), rel=1e-6)
+    assert piece_sampling.log_inclusion(-5.0, math.inf) == 0.0
+    found = piece_sampling._batch(["thnti"] * n, seeds, pieces, 2)
+    # Horvitz-Thompson: probabilities over inclusion chances add up to one on average.
+    sums = [sum(math.exp(s[2] - s[4]) for s in row) for row in found]
+    assert np.mean(sums) == pytest.approx(1, abs=0.05)
+    table = spark.createDataFrame([(1, "some words " * 2000)], "doc_id int, text string")
+    rows = piece_sampling.sample_segmentations(table, ["doc_id"]).collect()
+    assert all(r.inclusion == 0.0 and -1e6 < r.log_inclusion < -745 for r in rows)
+
+
+def test_segmentations_round_trip(spark, odd, pieces):
     got = piece_sampling.sample_segmentations(odd, ["doc_id", "text"])
     rows = piece_sampling.decode(got, "ids").collect()
     assert all(r.decoded == (r.text or "") for r in rows)
-    assert Counter(r.doc_id for r in rows) == {1: 1, 2: 1, 3: 1, 4: 4, None: 2, 6: 2}
+    assert Counter(r.doc_id for r in rows) == {1: 1, 2: 1, 3: 2, 4: 4, None: 2, 6: 2}
+    # The mark before the text and its first blank are one piece or two.
+    spelled = sorted([pieces.text[i] for i in r["ids"]] for r in rows if r.doc_id == 3)
+    rest = [b"\x1c", b"\xc2\x85", b" "]
+    assert spelled == [[b" ", b" ", *rest], [b"  ", *rest]]
     twice = {tuple(r["ids"]) for r in rows if r.doc_id == 4}
     assert len(twice) == 2
     assert piece_sampling.sample_segmentations(odd.limit(0), ["doc_id"]).count() == 0
