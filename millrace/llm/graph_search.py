@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import forget, map_groups, one_thread, staged
-from millrace.llm.vectors import direction, matrix, unit, usable
+from millrace.llm.shared import forget, map_batches, map_groups, one_thread, staged
+from millrace.llm.vectors import directions, matrix, unit, usable
 
 SHARD_ROWS = 8192
 DEGREE = 32
@@ -241,18 +241,23 @@ def nearest(
     fewer rows if there are fewer candidates. ``is_query`` null means no. A null id is the largest
     in a tie. An empty table gives no rows; other columns are not read.
     """
-    given = F.col(vector).cast("array<double>")
-    rows = staged(
-        vectors.filter(usable(vector)).select(
-            F.col(id_column).alias("id"),
-            given.alias("vector"),
-            F.size(vector).alias("dim"),
-            direction(given).alias("_vid"),
-            F.coalesce(is_query, F.lit(False)).alias("asks"),
-            F.monotonically_increasing_id().alias("_row"),
-        ),
-        "vectors",
+    given = vectors.filter(usable(vector)).select(
+        F.col(id_column).alias("id"),
+        F.col(vector).cast("array<double>").alias("vector"),
+        F.size(vector).alias("dim"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
+
+    def name(batch):
+        dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
+        column = batch.column(batch.schema.get_field_index("vector"))
+        names = np.zeros(len(dims), np.int64)
+        for d in np.unique(dims).tolist():
+            names[dims == d] = directions(matrix(column.filter(pa.array(dims == d))))
+        yield {"_vid": names}
+
+    named = map_batches(given, name, "_vid long", given.columns)
+    rows = staged(named.withColumn("_row", F.monotonically_increasing_id()), "vectors")
     # Of one direction, k + 1 rows can be among a query's nearest.
     by_id = W.partitionBy("_vid").orderBy(F.col("id").asc_nulls_last(), "_row")
     few = rows.select("_vid", "id", "_row", F.row_number().over(by_id).alias("n"))

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.words import mix
+
 
 def usable(column: str) -> Column:
     """Neither null, empty or zero, nor with a null or non-finite component."""
@@ -21,14 +23,6 @@ def usable(column: str) -> Column:
 _DIRECTION_STEPS = 1e12
 
 
-def direction(vector: Column) -> Column:
-    """A 64-bit name of a usable vector's direction: scaled copies share it."""
-    most = F.array_max(F.transform(vector, F.abs))
-    scaled = F.transform(vector, lambda x: x / most)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.xxhash64(F.transform(scaled, lambda x: F.floor(x / norm * _DIRECTION_STEPS + 0.5)))
-
-
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Equally long vectors as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):
@@ -45,6 +39,13 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def directions(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each usable row's direction: scaled copies share it."""
+    steps = np.floor(unit(rows) * _DIRECTION_STEPS + 0.5).astype(np.int64).view(np.uint64)
+    place = mix(np.arange(1, rows.shape[1] + 1).astype(np.uint64))
+    return mix(mix(steps ^ place).sum(axis=1, dtype=np.uint64) ^ np.uint64(rows.shape[1])).view(np.int64)
+
+
 def principal_axes(rows: DataFrame, vector: str, dim: str) -> dict[int, np.ndarray]:
     """Axes of each dimension's unit vectors, by falling second moment, as columns.
 
