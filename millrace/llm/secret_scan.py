@@ -2,12 +2,16 @@
 
 The patterns label the training samples: what they match is a random string, every other run of
 identifier characters is ordinary. Both first-order character models count all documents. A further
-run of characters is a secret if it is likelier under the random model by a margin per character.
+stretch of a run is a secret if its log-likelihood ratio, random against ordinary and summed over
+its characters, reaches ``MARGIN`` plus the log of the run's length: of ordinary runs of n
+characters, at most about n * exp(-threshold) hold such a stretch by chance. The ratio alone
+decides: no length, digit or letter case is asked for.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +39,16 @@ CLASSES = len(ALPHABET) + 1
 CODE = np.zeros(256, np.uint8)
 for _i, _c in enumerate(ALPHABET):
     CODE[ord(_c)] = _i + 1
-DIGIT = np.zeros(256, bool)
-DIGIT[ord("0") : ord("9") + 1] = True
 HEXDIGIT = np.zeros(256, bool)
 HEXDIGIT[[ord(c) for c in "0123456789abcdef"]] = True
 
-# A run of the alphabet counts as ordinary from ORDINARY characters, and is judged from CANDIDATE.
-ORDINARY = 6
-CANDIDATE = 20
-MARGIN = 0.5
+MARGIN = 12.0
 SMOOTHING = 0.5
 # Weight of what stands behind the pairs: even odds for random strings, as their samples may use
 # few of the characters, and single-character odds for ordinary ones.
 BACKED = 100.0
-_RUN = re.compile("[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE)
+_RUN = re.compile("[A-Za-z0-9+/_=-]{2,}")
+_STEM = re.compile("[A-Za-z0-9]*")
 _CELLS = -(-2 * CLASSES * CLASSES // 64) * 64
 
 
@@ -70,8 +70,13 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def suspects(texts: pa.Array) -> np.ndarray:
-    """Texts that may hold a span; the others certainly hold none."""
+def suspects(
+    texts: pa.Array, ratio: np.ndarray | None = None, margin: float = MARGIN
+) -> np.ndarray:
+    """Texts that may hold a span of the patterns or, with ``ratio``, of the models.
+
+    The others certainly hold none.
+    """
     data, starts = spaced_bytes(texts)
     hit = np.zeros(len(texts), bool)
 
@@ -87,12 +92,34 @@ def suspects(texts: pa.Array) -> np.ndarray:
                 at = blob.find(hint, at + 1)
     first, last = _runs(HEXDIGIT[data])
     mark(first[last - first >= LEAST["hex"]])
-    first, last = _runs(CODE[data] > 0)
-    digits = np.concatenate([[0], np.cumsum(DIGIT[data])])
-    mark(first[(last - first >= CANDIDATE) & (digits[last] > digits[first])])
+    if ratio is not None:
+        codes = CODE[data]
+        first, last = _runs(codes > 0)
+        # No stretch rises by more than the largest ratio a character.
+        fit = (last - first - 1) * ratio.max() >= margin + np.log(last - first)
+        first, last = first[fit], last[fit]
+        if len(first):
+            rise = best_rises(codes, first, last, ratio)
+            mark(first[rise >= margin + np.log(last - first)])
     return hit
 
 
+def best_rises(
+    codes: np.ndarray, first: np.ndarray, last: np.ndarray, ratio: np.ndarray
+) -> np.ndarray:
+    """The largest sum of ratios over consecutive characters inside each run, 0 at least."""
+    size = last - first
+    begin = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(first - begin[:-1], size) + np.arange(begin[-1])
+    steps = ratio.ravel()[codes[at - 1].astype(np.int64) * CLASSES + codes[at]]
+    steps[begin[:-1]] = 0
+    sums = np.cumsum(steps)
+    # Sums of each run lie below all of the run before, so that one running minimum serves all.
+    most = float(np.abs(ratio).max())
+    sums -= np.repeat(sums[begin[:-1]] + 2 * most * begin[:-1], size)
+    return np.maximum.reduceat(sums - np.minimum.accumulate(sums), begin[:-1])
+
+
 def _pairs(codes: np.ndarray) -> np.ndarray:
     pairs = codes[:-1].astype(np.int64) * CLASSES + codes[1:]
     return np.bincount(pairs, minlength=CLASSES * CLASSES)
@@ -109,15 +136,7 @@ def _count(docs: DataFrame) -> DataFrame:
             for a, b in slices(texts):
                 part = texts.slice(a, b - a)
                 data, _ = spaced_bytes(part)
-                codes = CODE[data]
-                first, last = _runs(codes > 0)
-                short = last - first < ORDINARY
-                # A short run is blanked out; its ends still separate the long ones.
-                change = np.zeros(len(codes) + 1, np.int32)
-                np.add.at(change, first[short], 1)
-                np.add.at(change, last[short], -1)
-                codes[np.cumsum(change[:-1]) > 0] = 0
-                sums[half : 2 * half] += _pairs(codes)
+                sums[half : 2 * half] += _pairs(CODE[data])
                 for i in np.flatnonzero(suspects(part)).tolist():
                     for _, _, _, value in base_spans(part[i].as_py() or ""):
                         raw = np.frombuffer(value.encode(), np.uint8)
@@ -154,19 +173,64 @@ def train(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def stretches(steps: list[float], least: float) -> list[tuple[int, int]]:
+    """Disjoint stretches ``[a, b)`` of steps whose sums reach ``least``, each up to its peak.
+
+    A stretch begins where the sum last left zero, and the next one is looked for once the sum is
+    back there or ``least`` below the peak. One pass; a run has a stretch if and only if any of its
+    stretches reaches ``least``.
+    """
+    out = []
+    total = peak = 0.0
+    begin = top = 0
+    for i, step in enumerate(steps):
+        total += step
+        if total > peak:
+            peak, top = total, i + 1
+        if total <= 0 or (peak >= least and total <= peak - least):
+            if peak >= least:
+                out.append((begin, top))
+            total = peak = 0.0
+            begin = i + 1
+    if peak >= least:
+        out.append((begin, top))
+    return out
+
+
 def model_spans(
     text: str, ratio: np.ndarray, taken: list[tuple[int, int, str, str]], margin: float = MARGIN
 ) -> list[tuple[int, int, str, str]]:
-    """Runs likelier random, with a digit, that overlap no base span."""
+    """Stretches of runs that are likelier random, and overlap no base span.
+
+    A stretch is widened to whole strings of letters and digits, so that no key loses its ends;
+    stretches that meet are one.
+    """
+    begins, ends = [t[0] for t in taken], []
+    for t in taken:
+        ends.append(max(t[1], ends[-1] if ends else 0))
     out = []
+    most = ratio.max()
     for m in _RUN.finditer(text):
-        if any(s[0] < m.end() and m.start() < s[1] for s in taken):
+        least = margin + np.log(len(m[0]))
+        if (len(m[0]) - 1) * most < least:
             continue
         codes = CODE[np.frombuffer(m[0].encode(), np.uint8)]
-        if not any(c.isdigit() for c in m[0]):
+        if best_rises(codes, np.array([0]), np.array([len(codes)]), ratio)[0] < least:
             continue
-        if ratio[codes[:-1], codes[1:]].mean() >= margin:
-            out.append((m.start(), m.end(), "markov", m[0]))
+        own = []
+        flipped = m[0][::-1]
+        for a, b in stretches(ratio[codes[:-1], codes[1:]].tolist(), least):
+            # Step i is between characters i and i + 1.
+            if own and own[-1][1] > a:
+                a = own.pop()[0]
+            else:
+                a = min(a, len(codes) - _STEM.match(flipped, len(codes) - 1 - a).end())
+            own.append((a, max(b + 1, _STEM.match(m[0], b).end())))
+        for a, b in own:
+            a, b = m.start() + a, m.start() + b
+            before = bisect_left(begins, b)
+            if not before or ends[before - 1] <= a:
+                out.append((a, b, "markov", text[a:b]))
     return out
 
 
@@ -178,8 +242,9 @@ def find_secrets(
     ``spans`` holds ``kind, first, end`` in code points, end exclusive, by start and then by kind;
     base spans of different kinds may overlap, as each kind is read on its own. ``redacted`` is the
     text with each stretch of spans replaced by ``[SECRET]``, a null text as it is. Null and empty
-    texts have no spans. Rows are judged one by one, so repeated rows get equal results; a carried
-    column named like one of ours gives way to it.
+    texts have no spans, and neither have the rows of an empty table. Rows are judged one by one, so
+    repeated rows get equal results; a carried column named like one of ours gives way to it. Very
+    long texts are read whole, in time linear in their length.
     """
     names, held, picked = carried(docs, carry, "spans", "redacted")
     ratio = train(docs) if ratio is None else ratio
@@ -191,7 +256,7 @@ def find_secrets(
             part = texts.slice(a, b - a)
             spans: list[list[dict]] = [[] for _ in range(b - a)]
             redacted = part.to_pylist()
-            for i in np.flatnonzero(suspects(part)).tolist():
+            for i in np.flatnonzero(suspects(part, sent.value, margin)).tolist():
                 text = redacted[i] or ""
                 found = base_spans(text)
                 found = found + model_spans(text, sent.value, found, margin)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -329,6 +330,80 @@ def test_secrets_of_every_kind(spark):
     assert secret_scan.find_secrets(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def brute_rise(steps):
+    """The largest sum of consecutive steps, over every pair of ends."""
+    return max((sum(steps[a:b]) for a in range(len(steps)) for b in range(a + 1, len(steps) + 1)), default=0.0)
+
+
+def test_added_secrets_against_all_stretches():
+    rng = np.random.default_rng(11)
+    size = secret_scan.CLASSES
+    ratio = np.zeros((size, size))
+    ratio[1:, 1:] = rng.normal(-0.3, 4.0, (size - 1, size - 1))
+    letters = list("abcXYZ019" * 3 + "_/=-+ .é🙂")
+    found = 0
+    for case in range(500):
+        text = "".join(rng.choice(letters, int(rng.integers(0, 70))))
+        if case % 3 == 0:
+            text += " token=abcXYZ019 " + text
+        base = secret_scan.base_spans(text)
+        spans = secret_scan.model_spans(text, ratio, base)
+        assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+            codes = secret_scan.CODE[np.frombuffer(m[0].encode(), np.uint8)]
+            steps = ratio[codes[:-1], codes[1:]].tolist()
+            least = secret_scan.MARGIN + np.log(len(m[0]))
+            own = [s for s in spans if m.start() <= s[0] and s[1] <= m.end()]
+            if not any(b[0] < m.end() and m.start() < b[1] for b in base):
+                assert bool(own) == (brute_rise(steps) >= least)
+            for a, b, kind, value in own:
+                assert kind == "markov" and value == text[a:b]
+                assert brute_rise(steps[a - m.start() : b - m.start() - 1]) >= least - 1e-9
+                assert not any(t[0] < b and a < t[1] for t in base)
+                # No key loses its ends: a span does not stop inside a string of letters and digits.
+                assert a == m.start() or not (text[a - 1].isalnum() and text[a].isalnum())
+                assert b == m.end() or not (text[b - 1].isalnum() and text[b].isalnum())
+                found += 1
+        sure = secret_scan.suspects(pa.array(["", text, None]), ratio)
+        assert not sure[0] and not sure[2] and (sure[1] or not spans and not base)
+    assert found > 100
+
+
+def test_stretches_of_a_long_run_stay_apart():
+    rise, fall = [2.0] * 10, [-2.0] * 8
+    assert secret_scan.stretches(rise + fall + rise, 12.0) == [(0, 10), (18, 28)]
+    assert secret_scan.stretches(rise + [-2.0] * 30 + rise, 12.0) == [(0, 10), (40, 50)]
+    assert secret_scan.stretches([1.0] * 11, 12.0) == [] == secret_scan.stretches([], 12.0)
+
+
+def test_planted_keys_are_found_and_text_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    ratio = secret_scan.train(docs)
+    rng = np.random.default_rng(5)
+    alphabet = list(secret_scan.ALPHABET[:62])
+    for letters, least in ((alphabet, 0.95), (alphabet[10:], 0.95), (alphabet[:16], 0.9)):
+        for length in (10, 16, 31):
+            keys = ["".join(rng.choice(letters, length)) for _ in range(200)]
+            hits = [secret_scan.model_spans(f"the value {k} of it", ratio, []) for k in keys]
+            assert np.mean([[s[:2] for s in h] == [(10, 10 + length)] for h in hits]) >= least
+    sent = F.size(F.filter("spans", lambda s: s["kind"] == "markov"))
+    found = secret_scan.find_secrets(docs, ["doc_id", "text"], ratio).agg(
+        F.sum(sent).alias("spans"), F.sum(F.size(F.split("text", " "))).alias("words")
+    ).first()
+    assert found.spans <= found.words * 1e-4
+
+
+def test_long_texts_of_many_secrets_take_linear_time():
+    rng = np.random.default_rng(7)
+    keys = ["".join(rng.choice(list(secret_scan.ALPHABET[:62]), 40)) for _ in range(30_000)]
+    text = " ".join(f"token={k}" if i % 2 else f"the {k}" for i, k in enumerate(keys))
+    size = secret_scan.CLASSES
+    began = time.process_time()
+    base = secret_scan.base_spans(text)
+    spans = secret_scan.model_spans(text, np.full((size, size), 1.0), base)
+    assert len(base) == len(spans) == 15_000 and time.process_time() - began < 20
+
+
 def test_secrets_odd_rows(spark, odd):
     got = secret_scan.find_secrets(odd.withColumn("spans", F.lit(1)), ["doc_id", "spans"]).collect()
     assert len(got) == len(ODD) and not any(r.spans for r in got)
