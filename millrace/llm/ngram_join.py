@@ -5,7 +5,9 @@ share at least L shingles within prefixes of length ``n - ceil(t*n) + L``, for a
 takes the L that makes its estimated lists and verifications cheapest, so a pair must share the
 smaller of its two L before it is verified.
 
-Documents that share a prefix shingle form loose components. In blocks of them, which hold prefixes
+A document stays in the search only if, for some number of matches up to its own L, that many of
+its prefix shingles stand in other prefixes whose owners ask for no more; few that share a shingle by
+chance do. The rest that share a prefix shingle form loose components. In blocks of them, which hold prefixes
 only, matches are counted and those that suffice form tight components; in blocks of these, which
 hold texts, candidates are verified. Blocks are of bounded size, and no pair is ever a row: a block
 returns a forest of its groups.
@@ -46,6 +48,9 @@ PERCENT = 85
 SKETCH_CELLS = 1 << 22
 MOST_SHARED = 16
 VERIFY_COST = 30.0
+# Rounds in which documents without enough shared prefix shingles leave the search; each is one
+# aggregation over what the round before left, and any number of them is right.
+LEAVING_ROUNDS = 2
 # A list estimated to be longer is dealt to several tasks.
 LIST_ROWS = 20_000
 # A block holds at most about so many documents and shingles.
@@ -100,12 +105,13 @@ class PrefixRule:
         order = np.lexsort((shingles, estimate))
         needed = -(-self.percent * n // 100)
         most = max(1, min(MOST_SHARED, needed))
-        lists = np.maximum(estimate[order[: n - needed + most]] - self.noise, 0.0)
+        # The list of a prefix shingle holds one document at least, so a longer prefix has a price.
+        lists = np.maximum(estimate[order[: n - needed + most]] - self.noise, 1.0)
         sums = np.cumsum(lists)[n - needed :]
         shared = np.arange(1, len(sums) + 1)
         chosen = int(np.argmin(sums * (1.0 + VERIFY_COST / shared))) + 1
         at = order[: n - needed + chosen]
-        return shingles[at], estimate[at], chosen
+        return shingles[at], np.maximum(estimate[at] - self.noise, 0.0), chosen
 
 
 def _measure(docs: DataFrame, carry: list[str], width: int) -> DataFrame:
@@ -150,37 +156,98 @@ def _measure(docs: DataFrame, carry: list[str], width: int) -> DataFrame:
 
 
 def _prefix_rows(texts: DataFrame, rule: Broadcasted, width: int) -> DataFrame:
-    """``token, part, tid``; ``part`` deals a long list to several tasks and is -1 otherwise."""
+    """``token, part, tid, need``; ``part`` deals a long list to several tasks and is -1 otherwise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)
             tids = batch.column(0).to_numpy()
             for a, b in slices(column):
-                tokens, parts, owners = [], [], []
+                tokens, parts, owners, needs = [], [], [], []
                 for tid, shingles in zip(
                     tids[a:b], shingle_sets(column.slice(a, b - a), width), strict=True
                 ):
                     if not len(shingles):
                         continue
-                    prefix, lists, _ = rule.value.prefix(shingles)
+                    prefix, lists, need = rule.value.prefix(shingles)
                     pieces = (lists // LIST_ROWS).astype(np.uint64) + np.uint64(1)
                     salt = mix(prefix ^ np.uint64(int(tid) % 2**64)) % pieces
                     parts.append(np.where(pieces == 1, -1, salt.astype(np.int64)))
                     tokens.append(prefix)
                     owners.append(np.full(len(prefix), tid, np.int64))
+                    needs.append(np.full(len(prefix), need, np.int8))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(tokens).view(np.int64)),
                             pa.array(np.concatenate(parts).astype(np.int32)),
                             pa.array(np.concatenate(owners)),
+                            pa.array(np.concatenate(needs)),
                         ],
-                        names=["token", "part", "tid"],
+                        names=["token", "part", "tid", "need"],
                     )
         release()
 
-    return texts.select("_tid", "text").mapInArrow(run, "token long, part int, tid long")
+    return texts.select("_tid", "text").mapInArrow(
+        run, "token long, part int, tid long, need tinyint"
+    )
+
+
+def _shared_rows(rows: DataFrame) -> DataFrame:
+    """Distinct rows whose list has a further document, with ``least``, the list's smallest need.
+
+    Of a list dealt to several tasks no task sees all: its rows stay, as if it wanted one match.
+    """
+    key = ["token", "part"]
+    names = [*key, "tid", "need", "least"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A list's first row has its least need, and waits for a second document of the list.
+        # ``before`` is the last row met, its list's least need, and whether it still waits.
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            met = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], 1)
+            if before is not None:
+                met = np.concatenate([before[None, :4], met])
+            met = met[np.append(True, (met[1:, :3] != met[:-1, :3]).any(1))]
+            starts = np.append(True, (met[1:, :2] != met[:-1, :2]).any(1))
+            least = met[starts, 3]
+            split = met[:, 1] >= 0
+            shared = split | ~starts | np.append(~starts[1:], False)
+            waits = bool(starts[-1] and not split[-1])
+            if before is not None:
+                least[0] = before[4]
+                shared[0] &= bool(before[5])
+                if len(met) == 1:
+                    waits = bool(before[5])
+            found = np.column_stack([met, np.where(split, 1, least[np.cumsum(starts) - 1])])[shared]
+            before = np.array([*met[-1], least[-1], waits])
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[:, i], pa.int64()).cast(k) for i, k in enumerate(kinds)],
+                    names=names,
+                )
+        release()
+
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int8(), pa.int8()]
+    dealt = rows.select(*names[:4]).repartition(*key).sortWithinPartitions(*key, "need", "tid")
+    return dealt.mapInArrow(run, "token long, part int, tid long, need tinyint, least tinyint")
+
+
+def _with_partners(rows: DataFrame) -> DataFrame:
+    """``rows`` of the documents that may share as many prefix shingles as some pair of theirs asks.
+
+    A pair that asks for k matches shares k lists in which k or less is the smallest need, and k is
+    at most the document's own need.
+    """
+    within = [F.count_if(F.col("least") <= k).alias(f"c{k}") for k in range(1, MOST_SHARED + 1)]
+    sums = rows.groupBy("tid").agg(F.max("need").alias("own"), *within)
+    enough = F.lit(False)
+    for k in range(1, MOST_SHARED + 1):
+        enough = enough | ((F.col("own") >= k) & (F.col(f"c{k}") >= k))
+    return rows.join(sums.filter(enough).select("tid"), "tid", "left_semi")
 
 
 def _prefix_sets(texts: DataFrame, rule: Broadcasted, wanted: Broadcasted, width: int) -> DataFrame:
@@ -240,12 +307,18 @@ def _list_edges(rows: DataFrame) -> DataFrame:
                 names=["a", "b", "up"],
             )
 
-    dealt = rows.repartition("token", "part").sortWithinPartitions("token", "part", "tid")
-    return dealt.mapInArrow(run, "a long, b long, up long")
+    dealt = rows.select("token", "part", "tid").repartition("token", "part")
+    ordered = dealt.sortWithinPartitions("token", "part", "tid")
+    return ordered.mapInArrow(run, "a long, b long, up long")
 
 
 def _candidate_components(rows: DataFrame) -> DataFrame:
+    shared = []
+    for _ in range(LEAVING_ROUNDS):
+        shared.append(staged(_shared_rows(rows), "shared"))
+        rows = _with_partners(shared[-1])
     edges = staged(_list_edges(rows), "lists")
+    forget(*shared)
     tops = edges.filter("up is not null").select("up", "a")
     first = tops.groupBy("up").agg(F.min("a").alias("b"))
     joined = tops.join(first, "up").select("a", "b")
