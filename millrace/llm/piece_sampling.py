@@ -35,10 +35,11 @@ OWN_MARK = (1 << 21) - 1
 
 @dataclass
 class Pieces:
-    """The piece vocabulary as a trie in sorted arrays; its size is that of the model file."""
+    """The piece vocabulary as a trie in a hash table; its size is that of the model file."""
 
     keys: np.ndarray
     nodes: np.ndarray
+    spread: int
     piece: np.ndarray
     weight: np.ndarray
     byte: np.ndarray
@@ -69,14 +70,39 @@ class Pieces:
                         piece.append(-1)
                 piece[node] = i
         keys = np.array([n << 21 | c for n, c in children], np.int64)
-        order = np.argsort(keys)
-        nodes = np.array(list(children.values()), np.int64)[order]
-        return cls(keys[order], nodes, np.array(piece), weight, byte, text)
+        nodes = np.array(list(children.values()), np.int64)
+        # At most a quarter of the slots is taken; a key goes to the first free one from its own on.
+        bits = max(4, (4 * len(keys)).bit_length())
+        slots, held = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        at, left = cls._slot(keys, 64 - bits), np.arange(len(keys))
+        while len(left):
+            free = left[slots[at[left]] < 0]
+            slots[at[free]] = keys[free]
+            own = free[slots[at[free]] == keys[free]]
+            held[at[own]] = nodes[own]
+            left = np.setdiff1d(left, own, assume_unique=True)
+            at[left] = (at[left] + 1) & (len(slots) - 1)
+        return cls(slots, held, 64 - bits, np.array(piece), weight, byte, text)
+
+    @staticmethod
+    def _slot(key: np.ndarray, spread: int) -> np.ndarray:
+        mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(spread)).astype(np.int64)
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The child of each node by a character, or -1."""
         key = node << 21 | char
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.nodes[at], -1)
+        at = self._slot(key, self.spread)
+        found = self.keys[at]
+        out = np.where(found == key, self.nodes[at], -1)
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+            found = self.keys[at[left]]
+            hit = found == key[left]
+            out[left[hit]] = self.nodes[at[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
 
     def decode(self, ids) -> str:
         raw = b"".join([self.text[i] for i in ids])
@@ -153,24 +179,30 @@ def build_lattices(chars: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> Lat
     )
     id_start = np.concatenate([[0], np.cumsum(many)])
     ids = flat[np.repeat(flat_at - id_start[:-1], many) + np.arange(id_start[-1])]
-    start = np.searchsorted(source, np.arange(n + 1))
-    # Log mass of all ways from a node to its word's end, by falling place in the word.
+    fan = np.bincount(source, minlength=n)
+    start = np.concatenate([[0], np.cumsum(fan)])
+    last = target == end[source] if n else np.zeros(0, bool)
+    # Log mass of all ways from a node to its word's end, by falling place in the word; place n
+    # stands for every end.
     mass = np.zeros(n + 1)
+    goal = np.where(last, n, target)
     left = end - np.arange(n)
     by_left = np.argsort(left, kind="stable")
-    edges_at = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
-    for r in range(len(edges_at) - 1):
-        own = by_left[edges_at[r] : edges_at[r + 1]]
-        width = start[own + 1] - start[own]
-        offset = np.concatenate([[0], np.cumsum(width)[:-1]])
-        e = np.repeat(start[own] - offset, width) + np.arange(width.sum())
-        last = target[e] == end[source[e]]
-        value = weight[e] + np.where(last, 0.0, mass[np.minimum(target[e], n)])
+    nodes_at = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=1)[1:])])
+    width = fan[by_left]
+    begin = np.concatenate([[0], np.cumsum(width)])
+    e = np.repeat(start[by_left] - begin[:-1], width) + np.arange(len(source))
+    weight_of, goal_of = weight[e], goal[e]
+    for a, b in zip(nodes_at[:-1].tolist(), nodes_at[1:].tolist(), strict=True):
+        if a == b:
+            continue
+        part = slice(begin[a], begin[b])
+        value = weight_of[part] + mass[goal_of[part]]
+        offset = begin[a:b] - begin[a]
         top = np.maximum.reduceat(value, offset)
-        mass[own] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, width)), offset))
-    last = target == end[source] if n else np.zeros(0, bool)
-    rest = np.where(last, 0.0, mass[np.minimum(target, n)])
-    share = np.minimum(weight + rest - mass[source], 0.0)
+        value -= np.repeat(top, width[a:b])
+        mass[by_left[a:b]] = top + np.log(np.add.reduceat(np.exp(value, out=value), offset))
+    share = np.minimum(weight + mass[goal] - mass[source], 0.0)
     sums = np.concatenate([[0], np.cumsum(np.exp(share))])
     upto = source + np.minimum(sums[1:] - sums[start[source]], 1.0)
     # A node's last edge takes what rounding leaves.
