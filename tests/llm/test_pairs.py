@@ -128,8 +128,52 @@ def test_substrings_on_the_table(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
 
 
-@pytest.mark.parametrize("window, anchor", [(35, 8), (6, 3)])
-def test_substrings_of_periodic_and_spliced_texts(spark, window, anchor):
+def brute_matches(phrases):
+    """The longest match of each place, within its phrase, with any other place."""
+    places = [(i, k) for i, p in enumerate(phrases) for k in range(len(p))]
+
+    def shared(a, b):
+        x, y = phrases[a[0]][a[1] :], phrases[b[0]][b[1] :]
+        return next((n for n, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+
+    return [max((shared(a, b) for b in places if b != a), default=0) for a in places]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_matches_and_parse(seed):
+    rng = random.Random(seed)
+    window = rng.choice([2, 4, 5])
+    phrases = [[rng.randrange(1, 4) for _ in range(rng.randint(1, 14))] for _ in range(seed * 3)]
+    phrases += [p[rng.randrange(len(p)) :] for p in phrases[:4]]
+    lengths = np.array([len(p) for p in phrases], np.int64)
+    flat = np.array([w for p in phrases for w in p], np.uint64)
+    match = substring_dedup.longest_matches(flat, lengths)
+    assert match.tolist() == brute_matches(phrases)
+    want, begin = set(), 0
+    for i, p in enumerate(phrases):
+        for k in range(len(p) - window + 1):
+            if match[begin + k] >= window:
+                want |= {(i, k + j) for j in range(int(match[begin + k]))}
+        begin += len(p)
+    found = zip(*substring_dedup.parse(match, lengths, window))
+    spans = [(int(i), int(a), int(b)) for i, a, b in found]
+    assert all(b - a >= window for _, a, b in spans)
+    assert {(i, k) for i, a, b in spans for k in range(a, b)} == want
+
+
+def test_a_factor_end_inside_a_longer_match():
+    # 1..6 occurs, then 3..9: the window behind the first factor belongs to a longer match.
+    phrases = [[1, 2, 3, 4, 5, 6, 7, 8, 9], [1, 2, 3, 4, 5, 6, 0], [3, 4, 5, 6, 7, 8, 9]]
+    lengths = np.array([len(p) for p in phrases])
+    flat = np.array([w for p in phrases for w in p], np.uint64)
+    match = substring_dedup.longest_matches(flat, lengths)
+    phrase, first, end = substring_dedup.parse(match, lengths, 4)
+    own = {(a, b) for i, a, b in zip(phrase.tolist(), first.tolist(), end.tolist()) if i == 0}
+    assert (0, 6) in own and any(b == 9 for _, b in own)
+
+
+@pytest.mark.parametrize("window, anchor, block", [(35, 8, 4000), (6, 3, 4000), (35, 8, 3), (6, 3, 2)])
+def test_substrings_of_periodic_and_spliced_texts(spark, window, anchor, block):
     rng = random.Random(window)
     passages = [" ".join(f"p{rng.randrange(60)}" for _ in range(window + k)) for k in (0, 1, 9, -1)]
     texts = {0: "a b " * 40, 1: "b a " * 33, 2: None, 3: "", 4: "a b " * window}
@@ -137,7 +181,9 @@ def test_substrings_of_periodic_and_spliced_texts(spark, window, anchor):
         parts = [rng.choice(passages) if rng.random() < 0.4 else f"u{i}x{k}" for k in range(9)]
         texts[i] = "\t".join(parts)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    got = substring_dedup.remove_repeats(docs, ["doc_id"], window, anchor).collect()
+    got = substring_dedup.remove_repeats(
+        docs, ["doc_id"], window, anchor, block_phrases=block
+    ).collect()
     have = {
         r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest())
         for r in got
