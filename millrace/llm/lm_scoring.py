@@ -4,11 +4,13 @@ Word counts of the whole training part fix the vocabulary, the classes and a smo
 inside every class of rarer words. A small GRU, trained in numpy by truncated backpropagation,
 predicts the class and, for frequent words, the word. Every training document is trained on once:
 tasks train on their own documents, dealt row by row over ``ROUNDS`` rounds, and after each round
-their weights are averaged. Scoring carries the state over all windows of a whole document.
+their weights are averaged. In training, texts lie one behind the other in lanes of like length; the
+state starts anew with each text, and every ``STRETCH`` tokens of a longer one. Scoring carries the state over all windows of a whole document.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +35,15 @@ FREQUENT = VOCABULARY // IN_CLASS
 SHAPES = 32
 HIDDEN = 24
 WINDOW = 32
-LANES = 64
+LANES = 256
+# A lane is to hold about so many windows, so that few texts still make many steps.
+LANE_WINDOWS = 128
+# Training: the longest stretch of a text with one state, and the tokens held at once.
+STRETCH = 4096
+HELD_TOKENS = 1 << 21
 SCORE_LANES = 2048
 ROUNDS = 2
-RATE = 0.01
+RATE = 0.02
 # Words looked up in tasks; counts of all others are joined. This bounds what is broadcast.
 MOST_LOOKED_UP = 1 << 20
 END = np.uint64(1)
@@ -132,12 +139,27 @@ class Lexicon:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.negative(out, out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """The softmax of each row, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _chosen_log(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log of one column's softmax, row by row; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    out = x[np.arange(len(x)), column]
+    np.exp(x, out=x)
+    return out - np.log(x.sum(axis=1))
 
 
 class Network:
@@ -182,18 +204,24 @@ class Network:
             at += n
         return cls(p)
 
-    def window(self, ids: np.ndarray, state: np.ndarray, keep: bool = False):
-        """States before each step of ``ids (steps, lanes)``, and the last one."""
+    def window(self, ids: np.ndarray, state: np.ndarray, fresh: np.ndarray | None = None):
+        """States before each step of ``ids (steps, lanes)``, and the last one.
+
+        With ``fresh``, which tells where a text starts and its state with it, what backpropagation
+        needs is kept as well.
+        """
         inputs = self.p["embed"][ids]
         before, held = np.empty((*ids.shape, HIDDEN), np.float32), []
         h = HIDDEN
         for t in range(len(ids)):
+            if fresh is not None and fresh[t].any():
+                state = np.where(fresh[t][:, None], np.float32(0), state)
             before[t] = state
             hidden = state @ self.p["again"]
             gates = _sigmoid(inputs[t, :, : 2 * h] + hidden[:, : 2 * h])
             z, r = gates[:, :h], gates[:, h:]
             n = np.tanh(inputs[t, :, 2 * h :] + r * hidden[:, 2 * h :])
-            if keep:
+            if fresh is not None:
                 held.append((z, r, n, hidden[:, 2 * h :]))
             state = n + z * (state - n)
         return before, state, held
@@ -201,26 +229,25 @@ class Network:
     def log_probability(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of class, and of the word in it for the vocabulary, row by row."""
         classes = np.where(ids < VOCABULARY, ids // IN_CLASS, FREQUENT + ids - VOCABULARY)
-        logs = _log_softmax(before @ self.p["to_class"] + self.p["class_bias"])
-        out = logs[np.arange(len(ids)), classes]
+        out = _chosen_log(before @ self.p["to_class"] + self.p["class_bias"], classes)
         order = np.argsort(classes, kind="stable")
         bounds = np.searchsorted(classes[order], np.arange(FREQUENT + 1))
         for k in range(FREQUENT):
             rows = order[bounds[k] : bounds[k + 1]]
             if len(rows):
-                inner = _log_softmax(before[rows] @ self.p["to_word"][k] + self.p["word_bias"][k])
-                out[rows] += inner[np.arange(len(rows)), ids[rows] % IN_CLASS]
+                inner = before[rows] @ self.p["to_word"][k] + self.p["word_bias"][k]
+                out[rows] += _chosen_log(inner, ids[rows] % IN_CLASS)
         return out
 
-    def gradient(self, ids: np.ndarray, valid: np.ndarray, state: np.ndarray):
+    def gradient(self, ids: np.ndarray, valid: np.ndarray, fresh: np.ndarray, state: np.ndarray):
         """Gradients over one window by backpropagation inside it, and the state after it."""
         p, h = self.p, HIDDEN
-        before, after, held = self.window(ids, state, keep=True)
+        before, after, held = self.window(ids, state, fresh)
         g = {k: np.zeros_like(v) for k, v in p.items()}
         rows = before[valid]
         flat = ids[valid].astype(np.int64)
         classes = np.where(flat < VOCABULARY, flat // IN_CLASS, FREQUENT + flat - VOCABULARY)
-        error = np.exp(_log_softmax(rows @ p["to_class"] + p["class_bias"]))
+        error = _softmax(rows @ p["to_class"] + p["class_bias"])
         error[np.arange(len(flat)), classes] -= 1
         g["to_class"] = rows.T @ error
         g["class_bias"] = error.sum(0)
@@ -230,9 +257,10 @@ class Network:
         for k in range(FREQUENT):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
-                e = np.exp(_log_softmax(rows[own] @ p["to_word"][k] + p["word_bias"][k]))
+                here = rows[own]
+                e = _softmax(here @ p["to_word"][k] + p["word_bias"][k])
                 e[np.arange(len(own)), flat[own] % IN_CLASS] -= 1
-                g["to_word"][k] = rows[own].T @ e
+                g["to_word"][k] = here.T @ e
                 g["word_bias"][k] = e.sum(0)
                 back[own] += e @ p["to_word"][k].T
         outer = np.zeros_like(before)
@@ -246,10 +274,14 @@ class Network:
             dn = d * (1 - z) * (1 - n * n)
             dz = d * (before[t] - n) * z * (1 - z)
             dr = dn * hidden_n * r * (1 - r)
-            inputs[t] = np.concatenate([dz, dr, dn], 1)
-            hidden = np.concatenate([dz, dr, dn * r], 1)
-            hiddens[t] = hidden
+            inputs[t, :, :h] = hiddens[t, :, :h] = dz
+            inputs[t, :, h : 2 * h] = hiddens[t, :, h : 2 * h] = dr
+            inputs[t, :, 2 * h :] = dn
+            hiddens[t, :, 2 * h :] = dn * r
+            hidden = hiddens[t]
             flow = d * z + hidden @ p["again"].T + outer[t]
+            if fresh[t].any():
+                flow = np.where(fresh[t][:, None], np.float32(0), flow)
         g["again"] += before.reshape(-1, h).T @ hiddens.reshape(-1, 3 * h)
         named = ids.ravel()
         order = np.argsort(named, kind="stable")
@@ -258,9 +290,33 @@ class Network:
         return g, after, len(flat)
 
 
+def _streams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts, one behind the other, in lanes of like length, the longest lane first.
+
+    Ids, which of them are there, and where a state starts: with each text, and with each stretch of
+    a longer one, so that a long text is trained on beside others and not in a lane alone.
+    """
+    parts = [x[i : i + STRETCH] for x in texts for i in range(0, len(x), STRETCH)]
+    parts = [parts[i] for i in np.random.default_rng(1).permutation(len(parts))]
+    # Longer stretches go first, so that lanes come out even; a lane's own order is mixed again.
+    wanted = sum(map(len, parts)) // (WINDOW * LANE_WINDOWS)
+    loads = [(0, i) for i in range(min(LANES, max(wanted, 16), len(parts)))]
+    own: list[list[int]] = [[] for _ in loads]
+    for i in sorted(range(len(parts)), key=lambda i: -len(parts[i])):
+        load, lane = loads[0]
+        own[lane].append(i)
+        heapq.heapreplace(loads, (load + len(parts[i]), lane))
+    order = sorted(own, key=lambda lane: -sum(len(parts[i]) for i in lane))
+    lanes = [[parts[i] for i in sorted(lane)] for lane in order]
+    grid, valid = _grid([np.concatenate(lane) for lane in lanes])
+    fresh = np.zeros(grid.shape, bool)
+    for i, lane in enumerate(lanes):
+        fresh[np.cumsum([0] + [len(x) for x in lane[:-1]]), i] = True
+    return grid, valid, fresh
+
+
 def train_on(network: Network, texts: list[np.ndarray]) -> int:
-    """Adam over the texts in lanes of similar length; returns the tokens seen."""
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    """Adam over windows of all texts in lanes; returns the tokens seen."""
     flat, at = network.flat(), 0
     # The parameters become views of one vector, which Adam moves as a whole.
     for k in network.SHAPE:
@@ -268,29 +324,26 @@ def train_on(network: Network, texts: list[np.ndarray]) -> int:
         network.p[k] = flat[at : at + size].reshape(network.p[k].shape)
         at += size
     first, second = np.zeros_like(flat), np.zeros_like(flat)
-    groups = [order[i : i + LANES] for i in range(0, len(order), LANES)]
     step = seen = 0
-    for at in np.random.default_rng(1).permutation(len(groups)).tolist():
-        lanes = [texts[i] for i in groups[at]]
-        grid, valid = _grid(lanes)
-        state = np.zeros((len(lanes), HIDDEN), np.float32)
-        for t in range(0, len(grid), WINDOW):
-            active = int(valid[t].sum())
-            part = slice(t, t + WINDOW)
-            g, state, n = network.gradient(grid[part, :active], valid[part, :active], state[:active])
-            step += 1
-            seen += n
-            slope = np.concatenate([g[k].ravel() for k in network.SHAPE])
-            slope *= 8 / n
-            np.clip(slope, -1, 1, out=slope)
-            first *= 0.9
-            first += 0.1 * slope
-            slope *= slope
-            second *= 0.99
-            second += 0.01 * slope
-            scale = np.sqrt(second / (1 - 0.99**step))
-            scale += 1e-6
-            flat -= (RATE / (1 - 0.9**step)) * first / scale
+    grid, valid, fresh = _streams(texts)
+    state = np.zeros((grid.shape[1], HIDDEN), np.float32)
+    for t in range(0, len(grid), WINDOW):
+        active = int(valid[t].sum())
+        part = slice(t, t + WINDOW), slice(0, active)
+        g, state, n = network.gradient(grid[part], valid[part], fresh[part], state[:active])
+        step += 1
+        seen += n
+        slope = np.concatenate([g[k].ravel() for k in network.SHAPE])
+        slope *= 8 / n
+        np.clip(slope, -1, 1, out=slope)
+        first *= 0.9
+        first += 0.1 * slope
+        slope *= slope
+        second *= 0.99
+        second += 0.01 * slope
+        scale = np.sqrt(second / (1 - 0.99**step))
+        scale += 1e-6
+        flat -= (RATE / (1 - 0.9**step)) * first / scale
     return seen
 
 
@@ -347,12 +400,20 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
         def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
             one_thread()
             own, seen, rows = Network.unflat(sent.value), 0, 0
+            held, waiting = [], 0
             for batch in batches:
                 place = np.arange(rows, rows + batch.num_rows)
                 rows += batch.num_rows
                 mine = batch.filter(pa.array(place % ROUNDS == turn))
-                if mine.num_rows:
-                    seen += train_on(own, _texts(mine.column(0), lexicon.value))
+                made = _texts(mine.column(0), lexicon.value) if mine.num_rows else []
+                held += made
+                waiting += sum(map(len, made))
+                if waiting >= HELD_TOKENS:
+                    seen += train_on(own, held)
+                    held, waiting = [], 0
+            if held:
+                seen += train_on(own, held)
+            held = []
             if seen:
                 sums = np.zeros(cells, np.int64)
                 sums[: size - 1] = np.rint(own.flat().astype(np.float64) * seen * _FIXED)

@@ -111,13 +111,15 @@ def test_lm_gradient_is_the_slope():
     rng = np.random.default_rng(2)
     ids = rng.integers(0, 1056, (6, 3))
     valid = np.arange(6)[:, None] < np.array([6, 5, 2])
+    fresh = np.zeros((6, 3), bool)
+    fresh[0] = fresh[3, 0] = fresh[2, 1] = True
     zero = np.zeros((3, lm_scoring.HIDDEN))
 
     def loss():
-        before, _, _ = net.window(ids, zero)
+        before, _, _ = net.window(ids, zero, fresh)
         return -net.log_probability(before[valid].astype(float), ids[valid]).sum()
 
-    slopes, _, _ = net.gradient(ids, valid, zero)
+    slopes, _, _ = net.gradient(ids, valid, fresh, zero)
     for name, place in (("again", (3, 40)), ("embed", (int(ids[0, 0]), 30)), ("to_class", (2, 5))):
         step = 1e-3
         net.p[name][place] += step
@@ -128,6 +130,23 @@ def test_lm_gradient_is_the_slope():
         assert slopes[name][place] == pytest.approx(slope, rel=0.02, abs=2e-3)
 
 
+def test_lm_lanes_hold_every_token_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "STRETCH", 50)
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 1000, n).astype(np.int16) for n in [1, 1, 3, 170, 50, 51, 9] * 9]
+    grid, valid, fresh = lm_scoring._streams(texts)
+    assert grid.shape[1] == 16 and not (fresh & ~valid).any()
+    assert (np.diff(valid.sum(0)) <= 0).all() and valid.sum() == sum(map(len, texts))
+    lanes = [grid[: valid[:, i].sum(), i] for i in range(grid.shape[1])]
+    found = [
+        part.tobytes()
+        for i, lane in enumerate(lanes)
+        for part in np.split(lane, np.flatnonzero(fresh[:, i])[1:])
+    ]
+    want = [x[k : k + 50].tobytes() for x in texts for k in range(0, len(x), 50)]
+    assert Counter(found) == Counter(want)
+
+
 def test_lm_trains_on_every_training_document(spark, monkeypatch, home):
     train = lm_scoring.train_on
 
