@@ -26,6 +26,7 @@ from millrace.sinks.files import (
     write_data,
     write_log,
 )
+from millrace.sinks.stage import stage_table
 from acceptance.scratch import new_folder
 from millrace.sources.dimension import project_dimension, read_dimension
 from millrace.sources.raw import (
@@ -452,15 +453,26 @@ def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(part, F.lit(1)).cast("int").alias("ok"),
         F.get(part, F.lit(2)).cast("int").alias("sk"),
         F.get(part, F.lit(3)).alias("ls"),
-        "origin.file",
-        "origin",
+        F.regexp_extract("origin.file", r"part-(\d+)[^/]*$", 1).cast("int").alias("file"),
+        "origin.block",
+        "origin.line",
+        F.shiftright("origin.line", 16).alias("stretch"),
     )
+    # Neighbours are compared inside stretches of lines; of each stretch, the last line then meets
+    # the next one's lines. There is one such line for up to 65,536.
     key = F.struct(-F.col("pk"), "ok", "sk", "ls")
-    before = F.lag(key).over(W.partitionBy("file").orderBy("origin"))
-    # Four files, so four rows.
-    ends = rows.groupBy("file").agg(F.max(key).alias("last"))
-    earlier = ends.select("file", F.lag("last").over(W.orderBy("file")).alias("ended"))
-    placed = rows.withColumn("before", before).join(F.broadcast(earlier), "file")
+    stretch = ("file", "block", "stretch")
+    lines_of = W.partitionBy(*stretch).orderBy("line")
+    linked = stage_table(
+        rows.select(
+            "pk", "ok", "sk", "ls", *stretch,
+            F.lag(key).over(lines_of).alias("before"),
+            F.lead("line").over(lines_of).isNull().alias("closes"),
+        ),
+        new_folder(spark, "linked"),
+    )
+    ended = F.lag(key).over(W.orderBy(*stretch)).alias("ended")
+    placed = linked.join(linked.filter("closes").select(*stretch, ended), [*stretch])
     follows = F.coalesce(key >= F.col("before"), F.lit(True)) & F.coalesce(key >= F.col("ended"), F.lit(True))
     return placed.select("pk", "ok", "sk", "ls", follows.alias("in_order"))
 

@@ -155,6 +155,31 @@ def test_ordered_and_limited_result(spark, home):
     assert read(result.data_path)[0].startswith("id|_place|")
 
 
+@pytest.mark.parametrize("rows, many", [(0, 3), (2, 3), (50, 3), (3001, 4)])
+def test_ordered_files_differ_by_a_row_at_most(spark, home, rows, many):
+    """Nulls, wide text and rows of several tasks and blocks come back as they were, in order."""
+    table = spark.range(0, rows, 1, 5).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("n"), F.concat(F.lit("é|\n"), "id").alias("t"), "id"
+    )
+    ordered = files.in_ordered_files(table.orderBy(F.desc("id")), many, f"{home}/staged")
+    assert ordered.schema == table.schema
+    parts = ordered.rdd.glom().collect()
+    assert sum(parts, []) == list(reversed(table.collect()))
+    assert len(list(filter(None, parts))) == min(rows, many)
+    assert not rows or max(map(len, parts)) - min(map(len, parts)) <= 1
+
+
+def test_a_file_of_an_ordered_result_is_not_sorted_row_by_row(spark, home):
+    """What the writing task sorts are blocks: packed, thousands of rows each."""
+    table = spark.range(0, 200_000, 1, 4).select("id", F.lit("x" * 100).alias("t"))
+    ordered = files.in_ordered_files(table.orderBy("id"), 2, f"{home}/staged")
+    plan = ordered._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Sort":
+        plan = plan.children().apply(0)
+    assert "block" in plan.output().toString() and "t#" not in plan.output().toString()
+    assert ordered.agg(F.count("*"), F.max("id")).first() == (200_000, 199_999)
+
+
 def test_what_counts_as_ordered(spark):
     rows = spark.range(10)
     assert files.is_ordered(rows.orderBy("id").withColumn("x", F.lit(1)))
