@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from millrace.llm.shared import (
     Broadcasted,
     array_pieces,
+    keep_freed,
     map_batches,
     one_thread,
     release,
@@ -42,6 +43,8 @@ LANE_WINDOWS = 128
 STRETCH = 4096
 HELD_TOKENS = 1 << 21
 SCORE_LANES = 2048
+# Rows whose outputs lie in a core's cache.
+CACHED_ROWS = 65536
 ROUNDS = 2
 RATE = 0.02
 # Words looked up in tasks; counts of all others are joined. This bounds what is broadcast.
@@ -138,28 +141,40 @@ class Lexicon:
         return np.where(there & (place >= 0), place, VOCABULARY + shapes.astype(np.int16)).astype(np.int16)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.clip(x, -30, 30)
-    np.negative(out, out=out)
-    np.exp(out, out=out)
-    out += 1
-    return np.reciprocal(out, out=out)
+def _is_calm(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no sum of states in [-1, 1] by these weights can leave what exp holds in float32."""
+    return float(np.abs(weights).sum(axis=-2).max() + np.abs(bias).max()) < 60
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
+def _exp(x: np.ndarray, calm: bool) -> np.ndarray:
+    """The exp of each row up to a factor of its own, in place."""
+    if not calm:
+        x -= x.max(axis=1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _softmax(x: np.ndarray, calm: bool) -> np.ndarray:
     """The softmax of each row, in place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    _exp(x, calm)
+    x *= np.reciprocal(x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
-def _chosen_log(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+def _chosen_log(x: np.ndarray, column: np.ndarray, calm: bool) -> np.ndarray:
     """The log of one column's softmax, row by row; ``x`` is used up."""
-    x -= x.max(axis=1, keepdims=True)
+    if not calm:
+        x -= x.max(axis=1, keepdims=True)
     out = x[np.arange(len(x)), column]
-    np.exp(x, out=x)
-    return out - np.log(x.sum(axis=1))
+    return out - np.log(_exp(x, True) @ np.ones(x.shape[1], x.dtype))
+
+
+def _by_gate(x: np.ndarray) -> np.ndarray:
+    """Columns of the update gate, the reset gate and the candidate as three arrays in one."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, HIDDEN).transpose(1, 0, 2))
+
+
+# What stands in the exp of each gate: 1 / (1 + exp(-x)) twice, and 2 / (1 + exp(-2x)) - 1.
+_IN_EXP = np.array([-1, -1, -2], np.float32)[:, None, None]
 
 
 class Network:
@@ -208,85 +223,136 @@ class Network:
         """States before each step of ``ids (steps, lanes)``, and the last one.
 
         With ``fresh``, which tells where a text starts and its state with it, what backpropagation
-        needs is kept as well.
+        needs is kept as well: the gates, and what the reset gate is multiplied with.
         """
-        inputs = self.p["embed"][ids]
-        before, held = np.empty((*ids.shape, HIDDEN), np.float32), []
-        h = HIDDEN
-        for t in range(len(ids)):
-            if fresh is not None and fresh[t].any():
-                state = np.where(fresh[t][:, None], np.float32(0), state)
-            before[t] = state
-            hidden = state @ self.p["again"]
-            gates = _sigmoid(inputs[t, :, : 2 * h] + hidden[:, : 2 * h])
-            z, r = gates[:, :h], gates[:, h:]
-            n = np.tanh(inputs[t, :, 2 * h :] + r * hidden[:, 2 * h :])
-            if fresh is not None:
-                held.append((z, r, n, hidden[:, 2 * h :]))
-            state = n + z * (state - n)
-        return before, state, held
+        steps, lanes = ids.shape
+        embed = _by_gate(self.p["embed"]) * _IN_EXP
+        again = _by_gate(self.p["again"]) * _IN_EXP
+        named = ids.astype(np.intp)
+        given = np.empty((lanes, HIDDEN), np.float32)
+        before = np.empty((steps, lanes, HIDDEN), np.float32)
+        kept = steps if fresh is not None else 1
+        gates = np.empty((kept, 3, lanes, HIDDEN), np.float32)
+        candidates = np.empty((kept, lanes, HIDDEN), np.float32)
+        starts = fresh.any(axis=1) if fresh is not None else np.zeros(steps, bool)
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                if starts[t]:
+                    state = np.where(fresh[t][:, None], np.float32(0), state)
+                before[t] = state
+                z, r, hidden = np.matmul(state, again, out=gates[t % kept])
+                z += embed[0].take(named[t], axis=0, mode="clip", out=given)
+                r += embed[1].take(named[t], axis=0, mode="clip", out=given)
+                both = gates[t % kept, :2]
+                np.exp(both, out=both)
+                both += 1
+                np.reciprocal(both, out=both)
+                n = np.multiply(r, hidden, out=candidates[t % kept])
+                n += embed[2].take(named[t], axis=0, mode="clip", out=given)
+                np.exp(n, out=n)
+                n += 1
+                np.divide(2, n, out=n)
+                n -= 1
+                state = np.subtract(state, n)
+                state *= z
+                state += n
+        return before, state, (gates, candidates)
 
     def log_probability(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of class, and of the word in it for the vocabulary, row by row."""
+        p = self.p
         classes = np.where(ids < VOCABULARY, ids // IN_CLASS, FREQUENT + ids - VOCABULARY)
-        out = _chosen_log(before @ self.p["to_class"] + self.p["class_bias"], classes)
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(FREQUENT + 1))
-        for k in range(FREQUENT):
-            rows = order[bounds[k] : bounds[k + 1]]
-            if len(rows):
-                inner = before[rows] @ self.p["to_word"][k] + self.p["word_bias"][k]
-                out[rows] += _chosen_log(inner, ids[rows] % IN_CLASS)
+        out, calm = np.empty(len(ids), np.float32), _is_calm(p["to_class"], p["class_bias"])
+        for a in range(0, len(ids), CACHED_ROWS):
+            part = slice(a, a + CACHED_ROWS)
+            x = before[part] @ p["to_class"]
+            x += p["class_bias"]
+            out[part] = _chosen_log(x, classes[part], calm)
+        order, _, inner = self._inner(before, classes)
+        calm = _is_calm(p["to_word"], p["word_bias"])
+        out[order] += _chosen_log(inner, ids[order] % IN_CLASS, calm)
         return out
 
+    def _inner(self, before: np.ndarray, classes: np.ndarray):
+        """Rows of frequent words by class, where each class begins, and their words' outputs."""
+        order = np.argsort(classes.astype(np.int8), kind="stable")
+        bounds = np.searchsorted(classes[order], np.arange(FREQUENT + 1)).tolist()
+        order = order[: bounds[-1]]
+        rows = before.take(order, axis=0)
+        inner = np.empty((len(order), IN_CLASS), np.float32)
+        for k in range(FREQUENT):
+            part = slice(bounds[k], bounds[k + 1])
+            if part.start < part.stop:
+                np.matmul(rows[part], self.p["to_word"][k], out=inner[part])
+                inner[part] += self.p["word_bias"][k]
+        return order, bounds, inner
+
     def gradient(self, ids: np.ndarray, valid: np.ndarray, fresh: np.ndarray, state: np.ndarray):
         """Gradients over one window by backpropagation inside it, and the state after it."""
         p, h = self.p, HIDDEN
-        before, after, held = self.window(ids, state, fresh)
+        before, after, (gates, n) = self.window(ids, state, fresh)
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        rows = before[valid]
-        flat = ids[valid].astype(np.int64)
+        whole = bool(valid.all())
+        rows = before.reshape(-1, h) if whole else before[valid]
+        flat = (ids.ravel() if whole else ids[valid]).astype(np.int64)
         classes = np.where(flat < VOCABULARY, flat // IN_CLASS, FREQUENT + flat - VOCABULARY)
-        error = _softmax(rows @ p["to_class"] + p["class_bias"])
+        error = rows @ p["to_class"]
+        error += p["class_bias"]
+        _softmax(error, _is_calm(p["to_class"], p["class_bias"]))
         error[np.arange(len(flat)), classes] -= 1
         g["to_class"] = rows.T @ error
-        g["class_bias"] = error.sum(0)
+        g["class_bias"] = np.ones(len(error), np.float32) @ error
         back = error @ p["to_class"].T
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(FREQUENT + 1))
+        order, bounds, e = self._inner(rows, classes)
+        _softmax(e, _is_calm(p["to_word"], p["word_bias"]))
+        e[np.arange(len(order)), flat[order] % IN_CLASS] -= 1
+        here, inner = rows.take(order, axis=0), np.empty((len(order), h), np.float32)
         for k in range(FREQUENT):
-            own = order[bounds[k] : bounds[k + 1]]
-            if len(own):
-                here = rows[own]
-                e = _softmax(here @ p["to_word"][k] + p["word_bias"][k])
-                e[np.arange(len(own)), flat[own] % IN_CLASS] -= 1
-                g["to_word"][k] = here.T @ e
-                g["word_bias"][k] = e.sum(0)
-                back[own] += e @ p["to_word"][k].T
-        outer = np.zeros_like(before)
-        outer[valid] = back
+            own = slice(bounds[k], bounds[k + 1])
+            if own.start < own.stop:
+                g["to_word"][k] = here[own].T @ e[own]
+                g["word_bias"][k] = np.ones(own.stop - own.start, np.float32) @ e[own]
+                np.matmul(e[own], p["to_word"][k].T, out=inner[own])
+        back[order] += inner
+        if whole:
+            outer = back.reshape(before.shape)
+        else:
+            outer = np.zeros_like(before)
+            outer[valid] = back
+        # What a step hands back is its flow times factors that no flow has a part in.
+        z, r, hidden = gates[:, 0], gates[:, 1], gates[:, 2]
+        by_z = before - n
+        by_z *= z
+        by_r = hidden * r
+        by_r *= np.float32(0.5) * (r - 1)
+        by_n = 1 - z
+        by_z *= by_n
+        by_n *= 1 - n * n
+        hiddens = np.empty_like(gates)
+        candidates = np.empty_like(n)
+        again = np.ascontiguousarray(_by_gate(p["again"]).transpose(0, 2, 1))
+        starts = fresh.any(axis=1)
         flow = np.zeros_like(state)
-        inputs = np.zeros((*ids.shape, 3 * h), np.float32)
-        hiddens = np.zeros((*ids.shape, 3 * h), state.dtype)
         for t in range(len(ids) - 1, -1, -1):
-            z, r, n, hidden_n = held[t]
-            d = np.where(valid[t][:, None], flow, 0)
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before[t] - n) * z * (1 - z)
-            dr = dn * hidden_n * r * (1 - r)
-            inputs[t, :, :h] = hiddens[t, :, :h] = dz
-            inputs[t, :, h : 2 * h] = hiddens[t, :, h : 2 * h] = dr
-            inputs[t, :, 2 * h :] = dn
-            hiddens[t, :, 2 * h :] = dn * r
-            hidden = hiddens[t]
-            flow = d * z + hidden @ p["again"].T + outer[t]
-            if fresh[t].any():
+            d = flow if whole else np.where(valid[t][:, None], flow, np.float32(0))
+            dn = np.multiply(d, by_n[t], out=candidates[t])
+            dz, dr, dh = hiddens[t]
+            np.multiply(d, by_z[t], out=dz)
+            np.multiply(dn, by_r[t], out=dr)
+            np.multiply(dn, r[t], out=dh)
+            flow = d * z[t]
+            flow += outer[t]
+            for gate in np.matmul(hiddens[t], again):
+                flow += gate
+            if starts[t]:
                 flow = np.where(fresh[t][:, None], np.float32(0), flow)
-        g["again"] += before.reshape(-1, h).T @ hiddens.reshape(-1, 3 * h)
+        known = before.reshape(-1, h).T
+        g["again"] = np.concatenate([known @ hiddens[:, k].reshape(-1, h) for k in range(3)], axis=1)
         named = ids.ravel()
         order = np.argsort(named, kind="stable")
         own, begin = np.unique(named[order], return_index=True)
-        g["embed"][own] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], begin)
+        inputs = np.concatenate([hiddens[:, 0], hiddens[:, 1], candidates], axis=-1)
+        g["embed"][own] = np.add.reduceat(inputs.reshape(-1, 3 * h).take(order, axis=0), begin)
         return g, after, len(flat)
 
 
@@ -399,6 +465,7 @@ def train_network(docs: DataFrame, lexicon: Broadcasted, first: Network) -> Netw
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
             one_thread()
+            keep_freed()
             own, seen, rows = Network.unflat(sent.value), 0, 0
             held, waiting = [], 0
             for batch in batches:
@@ -464,6 +531,7 @@ def score(docs: DataFrame, carry: list[str], held_out: Column) -> DataFrame:
 
     def work(batch):
         one_thread()
+        keep_freed()
         lex, net = lexicon.value, Network.unflat(sent.value)
         column = batch.column(batch.schema.get_field_index("text"))
         n = batch.num_rows

@@ -114,6 +114,22 @@ def release() -> None:
         trim(0)
 
 
+# Numbers of mallopt's own: from which size on a block is mapped, and what may lie free at the end.
+_MMAP_FROM, _TRIM_FROM = -3, -1
+
+
+def keep_freed() -> None:
+    """Let this process use freed memory again until ``release``, not fetch and clear it anew.
+
+    Temporaries of some megabytes otherwise go back to the system one by one, and each page that
+    comes back is cleared. Without glibc nothing changes.
+    """
+    tune = getattr(ctypes.CDLL(None), "mallopt", None)
+    if tune is not None:
+        tune(_MMAP_FROM, 32 << 20)
+        tune(_TRIM_FROM, 256 << 20)
+
+
 _THREAD_CALLS = ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads")
 _single: list[bool] = []
 

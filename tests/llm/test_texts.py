@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter
@@ -82,6 +84,58 @@ def test_lm_beats_the_counts_on_held_out_texts(spark):
     assert sums.model > 0.95 * sums.base
 
 
+@pytest.mark.parametrize("wide", [0.3, 20.0])
+def test_lm_gradient_is_that_of_the_loss(wide):
+    """Ragged lanes, texts that start inside a window, and weights too large for a bare exp."""
+    rng = np.random.default_rng(2)
+    p = {k: (0.3 * rng.standard_normal(s)).astype(np.float32) for k, s in lm_scoring.Network.SHAPE.items()}
+    p["to_class"] *= wide
+    p["to_word"] *= wide
+    net = lm_scoring.Network(p)
+    assert lm_scoring._is_calm(p["to_class"], p["class_bias"]) == (wide < 1)
+    texts = [rng.integers(0, lm_scoring.VOCABULARY + lm_scoring.SHAPES, n).astype(np.int16) for n in (9, 30, 4, 17)]
+    grid, valid = lm_scoring._grid(sorted(texts, key=len, reverse=True))
+    fresh = np.zeros(grid.shape, bool)
+    fresh[0], fresh[5, 1] = True, True
+    state = np.zeros((4, lm_scoring.HIDDEN), np.float32)
+    g, _, n = net.gradient(grid, valid, fresh, state)
+    assert n == 60 and not valid.all()
+
+    def loss():
+        before, _, _ = net.window(grid, state, fresh)
+        return -net.log_probability(before[valid], grid[valid].astype(np.int64)).astype(float).sum()
+
+    for k, slope in g.items():
+        at = np.unravel_index(np.argsort(-np.abs(slope), axis=None)[:3], slope.shape)
+        for place in zip(*at, strict=True):
+            old, sides = p[k][place], []
+            for move in (1e-3, -1e-3):
+                p[k][place] = old + np.float32(move)
+                sides.append(loss())
+            p[k][place] = old
+            assert (sides[0] - sides[1]) / 2e-3 == pytest.approx(slope[place], rel=0.05, abs=0.05)
+
+
+def test_workers_do_not_fetch_freed_memory_anew():
+    """Temporaries of megabytes take the pages that earlier ones left."""
+    code = """if True:
+        import resource, sys
+        import numpy as np
+        from millrace.llm.shared import keep_freed
+        keep_freed()
+        def faults():
+            for _ in range(20):
+                held = [np.ones(700_000) for _ in range(5)]
+                del held
+            return resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+        before = faults()
+        print(faults() - before)
+    """
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    # 20 rounds of 28 MB are 137,000 pages.
+    assert int(found.stdout) < 20_000
+
+
 def test_lm_is_a_distribution_and_state_is_carried():
     class Counts:
         frequent = np.arange(lm_scoring.VOCABULARY, 0, -1.0)
