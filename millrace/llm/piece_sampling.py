@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Broadcasted, map_batches
+from millrace.llm.shared import Broadcasted, keep_freed, map_batches
 from millrace.llm.words import mix, powers, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -41,6 +41,7 @@ class Pieces:
     nodes: np.ndarray
     spread: int
     piece: np.ndarray
+    inner: np.ndarray
     weight: np.ndarray
     byte: np.ndarray
     text: list[bytes]
@@ -71,6 +72,8 @@ class Pieces:
                 piece[node] = i
         keys = np.array([n << 21 | c for n, c in children], np.int64)
         nodes = np.array(list(children.values()), np.int64)
+        inner = np.zeros(len(piece), bool)
+        inner[keys >> 21] = True
         # At most a quarter of the slots is taken; a key goes to the first free one from its own on.
         bits = max(4, (4 * len(keys)).bit_length())
         slots, held = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
@@ -82,7 +85,7 @@ class Pieces:
             held[at[own]] = nodes[own]
             left = np.setdiff1d(left, own, assume_unique=True)
             at[left] = (at[left] + 1) & (len(slots) - 1)
-        return cls(slots, held, 64 - bits, np.array(piece), weight, byte, text)
+        return cls(slots, held, 64 - bits, np.array(piece), inner, weight, byte, text)
 
     @staticmethod
     def _slot(key: np.ndarray, spread: int) -> np.ndarray:
@@ -140,59 +143,66 @@ class Lattices:
 
 def build_lattices(chars: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> Lattices:
     """The lattices of words ``chars[bounds[i]:bounds[i + 1]]``, each one node longer than it."""
-    n, count = len(chars), len(bounds) - 1
-    word = np.repeat(np.arange(count), np.diff(bounds))
-    end = bounds[1:][word]
-    sources, targets, names = [], [], []
-    at, node = np.arange(n), np.zeros(n, np.int64)
-    where = at
+    n = len(chars)
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    found = []
+    where, node, size = np.arange(n), np.zeros(n, np.int64), 0
     while len(where):
-        node = pieces.step(node, chars[at])
-        go = node >= 0
-        where, at, node = where[go], at[go] + 1, node[go]
-        hit = pieces.piece[node] >= 0
-        sources.append(where[hit])
-        targets.append(at[hit])
-        names.append(pieces.piece[node[hit]])
-        go = at < end[where]
-        where, at, node = where[go], at[go], node[go]
-    # Longest first: a stable sort by source then leaves each node's likeliest edge near the front.
-    source, target, name = (np.concatenate(x[::-1]) for x in (sources, targets, names))
+        node = pieces.step(node, chars.take(where + size))
+        size += 1
+        go = np.flatnonzero(node >= 0)
+        where, node = where.take(go), node.take(go)
+        name = pieces.piece.take(node)
+        hit = np.flatnonzero(name >= 0)
+        found.append((where.take(hit), size, name.take(hit)))
+        go = np.flatnonzero(pieces.inner.take(node) & (end.take(where) > where + size))
+        where, node = where.take(go), node.take(go)
+    # A node has one edge of a size at most; what has none of one character gets its bytes.
+    fan = np.zeros(n, np.int64)
+    for source, _, _ in found:
+        fan[source] += 1
     short = np.zeros(n, bool)
-    short[source[target == source + 1]] = True
+    for source, _, _ in found[:1]:
+        short[source] = True
     spelled = np.flatnonzero(~short)
     raws = [
         MARK.encode() if c == OWN_MARK else chr(c).encode("utf-8", "replace")
         for c in chars[spelled].tolist()
     ]
-    source = np.concatenate([source, spelled])
-    target = np.concatenate([target, spelled + 1])
-    weight = np.concatenate(
-        [pieces.weight[name], np.array([len(r) * pieces.weight[pieces.byte[0]] for r in raws])]
-    )
-    many = np.concatenate([np.ones(len(name), np.int64), [len(r) for r in raws]]).astype(np.int64)
-    flat = np.concatenate([name, *[pieces.byte[list(r)] for r in raws]]).astype(np.int64)
-    flat_at = np.concatenate([[0], np.cumsum(many)[:-1]]) if len(many) else many
-    order = np.argsort(source, kind="stable")
-    source, target, weight, many, flat_at = (
-        x[order] for x in (source, target, weight, many, flat_at)
-    )
-    id_start = np.concatenate([[0], np.cumsum(many)])
-    ids = flat[np.repeat(flat_at - id_start[:-1], many) + np.arange(id_start[-1])]
-    fan = np.bincount(source, minlength=n)
+    fan[spelled] += 1
     start = np.concatenate([[0], np.cumsum(fan)])
+    # Longest first leaves each node's likeliest edge near the front.
+    free = start[:-1].copy()
+    target, name = np.empty(start[-1], np.int64), np.zeros(start[-1], np.int64)
+    for where, size, names in reversed(found):
+        at = free.take(where)
+        target[at], name[at] = where + size, names
+        free[where] = at + 1
+    at = free[spelled]
+    target[at] = spelled + 1
+    source = np.repeat(np.arange(n), fan)
+    weight = pieces.weight.take(name)
+    many = np.ones(len(name), np.int64)
+    many[at] = size = np.array([len(r) for r in raws], np.int64)
+    weight[at] = size * pieces.weight[pieces.byte[0]]
+    id_start = np.concatenate([[0], np.cumsum(many)])
+    ids = np.repeat(name, many)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    ids[np.repeat(id_start[at], size) + inside] = pieces.byte[np.frombuffer(b"".join(raws), np.uint8)]
     last = target == end[source] if n else np.zeros(0, bool)
     # Log mass of all ways from a node to its word's end, by falling place in the word; place n
     # stands for every end.
     mass = np.zeros(n + 1)
     goal = np.where(last, n, target)
     left = end - np.arange(n)
-    by_left = np.argsort(left, kind="stable")
+    # Small numbers are sorted by their digits.
+    narrow = left.astype(np.int16) if n and left.max() < 1 << 15 else left
+    by_left = np.argsort(narrow, kind="stable")
     nodes_at = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=1)[1:])])
     width = fan[by_left]
     begin = np.concatenate([[0], np.cumsum(width)])
     e = np.repeat(start[by_left] - begin[:-1], width) + np.arange(len(source))
-    weight_of, goal_of = weight[e], goal[e]
+    weight_of, goal_of = weight.take(e), goal.take(e)
     for a, b in zip(nodes_at[:-1].tolist(), nodes_at[1:].tolist(), strict=True):
         if a == b:
             continue
@@ -210,30 +220,44 @@ def build_lattices(chars: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> Lat
     return Lattices(bounds[:-1], start, target, ids, id_start, share, upto, last)
 
 
-def _uniform(seed: np.ndarray, place: np.ndarray, walk: int) -> np.ndarray:
-    x = mix(seed + mix(place.astype(np.uint64) * np.uint64(1021) + np.uint64(walk + 1)))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+def _uniform(seed: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    x = mix(seed + mixed)
+    x >>= np.uint64(11)
+    out = x.astype(np.float64)
+    out += 0.5
+    out *= 2.0**-53
+    return out
 
 
 def _walk(lat: Lattices, words: np.ndarray, seed: np.ndarray, place: np.ndarray, walk: int):
     """One sampled path through each word: its edges in order, and where each word's begin."""
     live = np.arange(len(words))
-    node = lat.first[words]
+    node = lat.first.take(words)
+    mixed = mix(place.astype(np.uint64) * np.uint64(1021) + np.uint64(walk + 1))
     lines, edges, step = [], [], 0
     while len(live):
-        u = _uniform(seed[live] + np.uint64(step * 2654435761), place[live], walk)
-        e = lat.start[node]
-        past = np.flatnonzero(lat.upto[e] < node + u)
+        u = _uniform(seed + np.uint64(step * 2654435761), mixed)
+        u += node
+        e = lat.start.take(node)
+        past = np.flatnonzero(lat.upto.take(e) < u)
         while len(past):
-            e[past] += 1
-            past = past[lat.upto[e[past]] < node[past] + u[past]]
+            next_one = e.take(past) + 1
+            e[past] = next_one
+            past = past.take(np.flatnonzero(lat.upto.take(next_one) < u.take(past)))
         lines.append(live)
         edges.append(e)
-        go = ~lat.last[e]
-        live, node, step = live[go], lat.target[e[go]], step + 1
-    line, edge = np.concatenate(lines), np.concatenate(edges)
-    order = np.argsort(line, kind="stable")
-    return edge[order], np.searchsorted(line[order], np.arange(len(words) + 1))
+        go = np.flatnonzero(~lat.last.take(e))
+        live, node, step = live.take(go), lat.target.take(e.take(go)), step + 1
+        seed, mixed = seed.take(go), mixed.take(go)
+    # Live words become fewer step by step: a word of s steps stands in the first s lists.
+    steps = np.zeros(len(words), np.int64)
+    for line in lines:
+        steps[line] += 1
+    begin = np.concatenate([[0], np.cumsum(steps)])
+    out = np.empty(begin[-1], np.int64)
+    for step, (line, edge) in enumerate(zip(lines, edges, strict=True)):
+        out[begin.take(line) + step] = edge
+    return out, begin
 
 
 @dataclass(order=True)
@@ -351,7 +375,9 @@ def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) ->
     values = (chars.astype(np.uint64) + np.uint64(1)) * powers(len(chars))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
     names = (sums[bounds[1:]] - sums[bounds[:-1]]) * powers(len(chars) + 1, True)[bounds[:-1]]
-    _, one, which = np.unique(mix(names), return_index=True, return_inverse=True)
+    which = pa.array(names).dictionary_encode().indices.to_numpy()
+    one = np.empty(int(which.max()) + 1, np.int64)
+    one[which[::-1]] = np.arange(len(which) - 1, -1, -1)
     size = bounds[one + 1] - bounds[one]
     starts = np.concatenate([[0], np.cumsum(size)])
     own = chars[np.repeat(bounds[one] - starts[:-1], size) + np.arange(starts[-1])]
@@ -359,7 +385,7 @@ def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) ->
     text = np.repeat(np.arange(len(texts)), np.diff(first))
     place = np.arange(count) - first[text]
     walks = [_walk(lat, which, seeds[text], place, w) for w in range(samples)]
-    out = []
+    out, paths = [], []
     for i in range(len(texts)):
         a, b = first[i], first[i + 1]
         if a == b:
@@ -370,13 +396,23 @@ def _batch(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) ->
         limit = found[-1][0]
         rows = []
         for rank, (arrival, path) in enumerate(found[:-1]):
-            many = lat.id_start[path + 1] - lat.id_start[path]
-            offset = np.concatenate([[0], np.cumsum(many)[:-1]])
-            ids = lat.ids[np.repeat(lat.id_start[path] - offset, many) + np.arange(many.sum())]
             log_p = float(lat.share[path].sum())
-            rows.append((rank, ids, log_p, -math.log(arrival), log_inclusion(log_p, limit)))
+            rows.append((rank, len(paths), log_p, -math.log(arrival), log_inclusion(log_p, limit)))
+            paths.append(path)
         out.append(rows)
-    return out
+    ids = _ids(lat, paths)
+    return [[(rank, ids[at] if at != [] else at, *rest) for rank, at, *rest in rows] for rows in out]
+
+
+def _ids(lat: Lattices, paths: list[np.ndarray]) -> list[np.ndarray]:
+    """The piece ids of each path."""
+    path = np.concatenate(paths)
+    begin = lat.id_start.take(path)
+    many = lat.id_start.take(path + 1) - begin
+    after = np.concatenate([[0], np.cumsum(many)])
+    ids = lat.ids.take(np.repeat(begin - after[:-1], many) + np.arange(after[-1]))
+    ends = np.cumsum([len(p) for p in paths])
+    return np.split(ids, after[ends[:-1]])
 
 
 def sample_segmentations(
@@ -408,6 +444,7 @@ def sample_segmentations(
     )
 
     def work(batch):
+        keep_freed()
         texts = batch.column(batch.schema.get_field_index("text"))
         seeds = batch.column(batch.schema.get_field_index("_seed")).to_numpy().view(np.uint64)
         for a, b in slices(texts, SLICE):
