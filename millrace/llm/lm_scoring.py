@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,9 @@ LANE_WINDOWS = 128
 STRETCH = 4096
 HELD_TOKENS = 1 << 21
 SCORE_LANES = 2048
-# Rows whose outputs lie in a core's cache.
-CACHED_ROWS = 65536
+# Rows whose outputs, and bytes of text whose temporaries, lie in a core's cache.
+CACHED_ROWS = 4096
+SLICE_BYTES = 200_000
 ROUNDS = 2
 RATE = 0.02
 # Words looked up in tasks; counts of all others are joined. This bounds what is broadcast.
@@ -55,16 +57,24 @@ END_SHAPE = 0
 _FIXED = float(1 << 16)
 
 
+# What a word's last byte, and its length up to 14, add to its shape.
+_BY_LAST = np.full(256, 16, np.int8)
+_BY_LAST[[*range(97, 123), *range(0x80, 256)]] = 0
+_BY_LAST[[44, 46]] = 8
+_BY_LAST[48:58] = 24
+_BY_SIZE = np.digitize(np.arange(15), [5, 9, 14]).astype(np.int8)
+
+
 def word_shapes(words) -> np.ndarray:
     """A class from 0 to 31 of each word's spelling: last byte, length, other alphabets."""
-    data = np.append(words.data, 0)
-    last = data[words.end - 1]
-    kind = np.select([last >= 0x80, (last >= 97) & (last <= 122), (last == 46) | (last == 44)], [0, 0, 1], 2)
-    kind = np.where((last >= 48) & (last <= 57), 3, kind)
-    wide = np.concatenate([[0], np.cumsum(words.data >= 0x80)])
-    wide = wide[words.end] > wide[words.start]
-    size = np.digitize(words.end - words.start, [5, 9, 14])
-    return (kind * 8 + wide * 4 + size).astype(np.int8)
+    shapes = _BY_LAST[words.data[words.end - 1]]
+    shapes += _BY_SIZE[np.minimum(words.end - words.start, 14)]
+    wide = words.data >= 0x80
+    if wide.any():
+        sums = np.zeros(len(wide) + 1, np.int32)
+        np.cumsum(wide, dtype=np.int32, out=sums[1:])
+        shapes[sums[words.end] > sums[words.start]] += 4
+    return shapes
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,12 +92,13 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def work(batch):
         column = batch.column(0)
-        parts = [tokens(column.slice(a, b - a))[:2] for a, b in slices(column)]
-        hashes, first, many = np.unique(
-            np.concatenate([p[0] for p in parts]), return_index=True, return_counts=True
-        )
-        shapes = np.concatenate([p[1] for p in parts])[first]
-        yield {"w": hashes.view(np.int64), "shape": shapes, "n": many}
+        parts = [tokens(column.slice(a, b - a))[:2] for a, b in slices(column, SLICE_BYTES)]
+        # Equal words have equal shapes, so it does not matter whose shape stays.
+        coded = pa.array(np.concatenate([p[0] for p in parts])).dictionary_encode()
+        hashes, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        shapes = np.empty(len(hashes), np.int8)
+        shapes[code] = np.concatenate([p[1] for p in parts])
+        yield {"w": hashes.view(np.int64), "shape": shapes, "n": np.bincount(code, minlength=len(hashes))}
 
     rows = map_batches(docs.select("text"), work, "w long, shape tinyint, n long")
     return rows.groupBy("w").agg(F.first("shape").alias("shape"), F.sum("n").alias("c"))
@@ -127,17 +138,47 @@ class Lexicon:
         np.subtract.at(sums, shape[rank], np.stack([self.frequent, np.ones(len(rank))], 1))
         self.shape_total, self.shape_distinct = sums[:, 0], sums[:, 1]
 
+    # Tasks derive what is cached below, so it is not sent.
+    @cached_property
+    def logs(self) -> np.ndarray:
+        """The log of each looked-up word's smoothed count."""
+        return np.log10(self.counts + 0.5)
+
+    @cached_property
+    def _closed(self) -> np.ndarray:
+        """The words, and one that no hash lies behind."""
+        return np.append(self.words, np.uint64(2**64 - 1))
+
+    @cached_property
+    def _begins(self) -> tuple[np.uint64, np.ndarray]:
+        """Where the words of each first bits start: hashes lie evenly, so theirs is at most a few steps on."""
+        bits = max(len(self.words).bit_length() + 1, 4)
+        shift = np.uint64(64 - bits)
+        many = np.bincount((self.words >> shift).astype(np.intp), minlength=1 << bits)
+        return shift, (np.cumsum(many) - many).astype(np.int32)
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each token among the words looked up, and whether it is there."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return at, self.words[at] == hashes
+        shift, begins = self._begins
+        at = begins[(hashes >> shift).view(np.int64)].astype(np.int64)
+        found = self._closed[at]
+        behind = np.flatnonzero(found < hashes)
+        while len(behind):
+            at[behind] += 1
+            found[behind] = self._closed[at[behind]]
+            behind = behind[found[behind] < hashes[behind]]
+        there = (found == hashes) & (at < len(self.words))
+        return np.minimum(at, len(self.words) - 1), there
 
     def ids(self, hashes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         """Vocabulary place, or ``VOCABULARY`` plus shape."""
-        at, there = self.find(hashes)
-        place = self.place[at] if len(self.words) else np.full(len(hashes), -1, np.int16)
+        return self.ids_at(*self.find(hashes), shapes)
+
+    def ids_at(self, at: np.ndarray, there: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        """The ids of tokens that :meth:`find` has been asked for."""
+        place = self.place[at] if len(self.words) else np.full(len(at), -1, np.int16)
         return np.where(there & (place >= 0), place, VOCABULARY + shapes.astype(np.int16)).astype(np.int16)
 
 
@@ -238,7 +279,8 @@ class Network:
         with np.errstate(over="ignore"):
             for t in range(steps):
                 if starts[t]:
-                    state = np.where(fresh[t][:, None], np.float32(0), state)
+                    state = state.copy()
+                    state[fresh[t]] = 0
                 before[t] = state
                 z, r, hidden = np.matmul(state, again, out=gates[t % kept])
                 z += embed[0].take(named[t], axis=0, mode="clip", out=given)
@@ -313,7 +355,8 @@ class Network:
                 g["to_word"][k] = here[own].T @ e[own]
                 g["word_bias"][k] = np.ones(own.stop - own.start, np.float32) @ e[own]
                 np.matmul(e[own], p["to_word"][k].T, out=inner[own])
-        back[order] += inner
+        inner += back.take(order, axis=0)
+        back[order] = inner
         if whole:
             outer = back.reshape(before.shape)
         else:
@@ -323,12 +366,14 @@ class Network:
         z, r, hidden = gates[:, 0], gates[:, 1], gates[:, 2]
         by_z = before - n
         by_z *= z
-        by_r = hidden * r
-        by_r *= np.float32(0.5) * (r - 1)
+        by_r = r - 1
+        by_r *= np.float32(0.5)
+        by_r *= hidden * r
         by_n = 1 - z
         by_z *= by_n
-        by_n *= 1 - n * n
-        hiddens = np.empty_like(gates)
+        squares = n * n
+        by_n *= np.subtract(1, squares, out=squares)
+        hiddens = np.empty((3, *n.shape), n.dtype)
         candidates = np.empty_like(n)
         again = np.ascontiguousarray(_by_gate(p["again"]).transpose(0, 2, 1))
         starts = fresh.any(axis=1)
@@ -336,23 +381,25 @@ class Network:
         for t in range(len(ids) - 1, -1, -1):
             d = flow if whole else np.where(valid[t][:, None], flow, np.float32(0))
             dn = np.multiply(d, by_n[t], out=candidates[t])
-            dz, dr, dh = hiddens[t]
+            dz, dr, dh = hiddens[:, t]
             np.multiply(d, by_z[t], out=dz)
             np.multiply(dn, by_r[t], out=dr)
             np.multiply(dn, r[t], out=dh)
             flow = d * z[t]
             flow += outer[t]
-            for gate in np.matmul(hiddens[t], again):
+            for gate in np.matmul(hiddens[:, t], again):
                 flow += gate
             if starts[t]:
-                flow = np.where(fresh[t][:, None], np.float32(0), flow)
+                flow[fresh[t]] = 0
         known = before.reshape(-1, h).T
-        g["again"] = np.concatenate([known @ hiddens[:, k].reshape(-1, h) for k in range(3)], axis=1)
+        g["again"] = np.concatenate([known @ gate.reshape(-1, h) for gate in hiddens], axis=1)
         named = ids.ravel()
         order = np.argsort(named, kind="stable")
-        own, begin = np.unique(named[order], return_index=True)
-        inputs = np.concatenate([hiddens[:, 0], hiddens[:, 1], candidates], axis=-1)
-        g["embed"][own] = np.add.reduceat(inputs.reshape(-1, 3 * h).take(order, axis=0), begin)
+        many = np.bincount(named)
+        own = np.flatnonzero(many)
+        begin = np.cumsum(many[own]) - many[own]
+        inputs = [x.reshape(-1, h).take(order, axis=0) for x in (hiddens[0], hiddens[1], candidates)]
+        g["embed"][own] = np.concatenate([np.add.reduceat(x, begin) for x in inputs], axis=1)
         return g, after, len(flat)
 
 
@@ -429,20 +476,25 @@ def score_batch(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     for base in range(0, len(order), SCORE_LANES):
         own = order[base : base + SCORE_LANES]
         lengths = np.array([len(texts[i]) for i in own])
+        ids = np.concatenate([texts[i] for i in own])
+        begin = np.cumsum(lengths) - lengths
         state = np.zeros((len(own), HIDDEN), np.float32)
         for t in range(0, int(lengths[0]), WINDOW):
             active = int((lengths > t).sum())
-            grid, valid = _grid([texts[i][t : t + WINDOW] for i in own[:active]])
+            steps = np.arange(t, min(t + WINDOW, int(lengths[0])))[:, None]
+            grid = ids.take(begin[:active] + steps, mode="clip")
             before, state, _ = network.window(grid, state[:active])
-            logs = network.log_probability(before[valid], grid[valid].astype(np.int64))
-            lane = np.broadcast_to(np.arange(active), grid.shape)[valid]
-            out[own[:active]] += np.bincount(lane, logs, minlength=active)
+            held = np.flatnonzero(steps < lengths[:active])
+            logs = network.log_probability(
+                before.reshape(-1, HIDDEN).take(held, axis=0), grid.ravel()[held].astype(np.int64)
+            )
+            out[own[:active]] += np.bincount(held % active, logs, minlength=active)
     return out
 
 
 def _texts(column: pa.Array, lexicon: Lexicon) -> list[np.ndarray]:
     out = []
-    for a, b in slices(column):
+    for a, b in slices(column, SLICE_BYTES):
         hashes, shapes, counts = tokens(column.slice(a, b - a))
         out += np.split(lexicon.ids(hashes, shapes), np.cumsum(counts)[:-1])
     return out
@@ -540,14 +592,14 @@ def score(docs: DataFrame, carry: list[str], held_out: Column) -> DataFrame:
         room = np.log10(lex.shape_total + 0.5 * (lex.shape_distinct + 1))
         ids: list[np.ndarray] = []
         rare: list[np.ndarray] = []
-        for a, b in slices(column):
+        for a, b in slices(column, SLICE_BYTES):
             hashes, shapes, lengths = tokens(column.slice(a, b - a))
             owner = np.repeat(np.arange(a, b), lengths)
             at, there = lex.find(hashes)
-            own_ids = lex.ids(hashes, shapes)
+            own_ids = lex.ids_at(at, there, shapes)
             logs = np.zeros(len(hashes))
             if there.any():
-                logs[there] = np.log10(lex.counts[at[there]] + 0.5)
+                logs[there] = lex.logs[at[there]]
             outside = own_ids >= VOCABULARY
             total[a:b] = lengths
             sums["known"] += np.bincount(owner, there, minlength=n)

@@ -229,6 +229,54 @@ def test_lm_odd_rows(spark, odd):
     assert lm_scoring.score(odd.limit(0), ["doc_id"], F.lit(False)).count() == 0
 
 
+def _lexicon(words):
+    known = lm_scoring.Lexicon.__new__(lm_scoring.Lexicon)
+    known.words = np.sort(np.array(words, np.uint64))
+    known.counts = np.arange(len(words), dtype=np.float64)
+    return known
+
+
+@pytest.mark.parametrize("ends", [[], [0], [2**64 - 1], [0, 1, 2, 2**64 - 1]])
+@pytest.mark.parametrize("many", [0, 1, 3000])
+def test_lm_words_are_found(ends, many):
+    own = np.random.default_rng(5).integers(0, 2**64, many, dtype=np.uint64)
+    known = _lexicon(sorted({*own.tolist(), *ends}))
+    near = np.concatenate([known.words, known.words + np.uint64(1), known.words - np.uint64(1)])
+    asked = np.concatenate([near, np.array([0, 1, 3, 2**63, 2**64 - 2, 2**64 - 1], np.uint64)])
+    at, there = known.find(asked)
+    among = set(known.words.tolist())
+    assert there.tolist() == [x in among for x in asked.tolist()]
+    assert (known.words[at[there]] == asked[there]).all()
+
+
+def test_lm_lookup_does_not_search():
+    """A word is found from its first bits, at a fraction of a binary search's cost."""
+    rng = np.random.default_rng(6)
+    known = _lexicon(rng.integers(0, 2**64, 500_000, dtype=np.uint64))
+    asked = rng.choice(known.words, 1_000_000)
+    known.find(asked[:1])
+
+    def seconds(work):
+        best = math.inf
+        for _ in range(3):
+            began = time.process_time()
+            work()
+            best = min(best, time.process_time() - began)
+        return best
+
+    assert seconds(lambda: known.find(asked)) < 0.6 * seconds(lambda: np.searchsorted(known.words, asked))
+
+
+def test_lm_shapes_are_those_of_spelling():
+    given = [*("x" * n for n in (1, 4, 5, 8, 9, 13, 14, 99)), "9", "a.", "b,", "(", "é", "né1", "梦."]
+    found = lm_scoring.word_shapes(split_words(pa.array([" ".join(given)])))
+    for word, shape in zip((w.encode() for w in given), found, strict=True):
+        last = word[-1:]
+        kind = 3 if last.isdigit() else 1 if last in b".," else 0 if last.islower() or last >= b"\x80" else 2
+        size = sum(len(word) >= n for n in (5, 9, 14))
+        assert shape == 8 * kind + 4 * (max(word) >= 0x80) + size
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return piece_sampling.Pieces.load()
